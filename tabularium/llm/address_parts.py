@@ -119,8 +119,8 @@ def _street_start(text: str) -> re.Match | None:
     return next((m for m in found if len(m[1]) > 2 or text[m.end() - 1] == "." or _ROAD_NO.match(text, m.start())), None)
 
 
-def parse_address(text: str | None) -> Address:
-    """The parts of an address given as one text; NULL or blank gives empty parts."""
+def parse_address(text: str | None, street_only: bool = False) -> Address:
+    """The parts of an address given as one text; NULL or blank gives empty parts. street_only: it names no municipality."""
     if not text or not text.strip():
         return Address("", "", "", "", "", "")
     t = _SEDE.sub("", flat(text))
@@ -168,7 +168,7 @@ def parse_address(text: str | None) -> Address:
         muni, province = municipality_words(head)
         name = re.split(r",|;|\s[–-]\s", name.strip(" ,;–-"))[0]
     words = street_words(name).split()
-    if not muni and len(words) > 1:
+    if not muni and len(words) > 1 and not street_only:
         if len(words) > 2 and len(words[-1]) == 2:
             province = words.pop()
         at = len(words) - 1
@@ -182,6 +182,6 @@ def parse_review(municipality: str | None, street: str | None, civic: str | None
     """The parts of an address given in three columns."""
     if not street:
         return Address("", "", "", "", "", "")
-    a = parse_address(f"{street}, {civic}" if civic else f"{street}, snc")
+    a = parse_address(f"{street}, {civic}" if civic else f"{street}, snc", True)
     muni, province = municipality_words(flat(municipality or ""))
     return a._replace(municipality=muni, province=province)

@@ -119,18 +119,19 @@ def locations(parts: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     parts = written(parts, "address-parts")
     classes = written(address_classes(parts), "address-classes")
-    surname = F.array_join(F.reverse(F.array_sort(F.split("street", " "), lambda x, y: F.when(F.length(x) < F.length(y), -1).when(F.length(x) > F.length(y), 1).when(x < y, -1).when(x > y, 1).otherwise(0))), " ")
+    words = F.array_distinct(F.split("street", " "))
+    long_words = F.filter(words, lambda w: (F.length(w) > 1) | (F.size(words) == 1))
     strict = F.concat_ws("|", "civic", "kind")
     root = F.reverse(F.regexp_replace("municipality", " ", ""))
     keyed = classes.withColumns(
         {
-            "key_m": F.concat_ws("|", strict, "municipality", surname),
-            "key_s": F.concat_ws("|", strict, surname, root),
-            "key_r": F.concat_ws("|", strict, root, F.reverse(F.col("street"))),
-            "key_t": F.concat_ws("|", strict, F.reverse(surname), "municipality"),
+            "by_municipality": F.array(F.concat_ws("|", strict, "municipality", F.array_join(F.array_sort(long_words), " "))),
+            "by_word": F.transform(long_words, lambda w: F.concat_ws("|", strict, w, root)),
+            "by_root": F.transform(long_words, lambda w: F.concat_ws("|", strict, root, F.reverse(w))),
+            "by_end": F.transform(long_words, lambda w: F.concat_ws("|", strict, F.reverse(w), "municipality")),
         }
     )
-    pairs = neighbour_pairs(keyed, id_="cls", keys=("key_m", "key_s", "key_r", "key_t"), payload=PART_COLUMNS, window=window, alike=same_location)
+    pairs = neighbour_pairs(keyed, id_="cls", keys=("by_municipality", "by_word", "by_root", "by_end"), payload=PART_COLUMNS, window=window, alike=same_location)
     roots = components(pairs, "a", "b").withColumnRenamed("node", "cls")
     placed = classes.select("cls").join(roots, "cls", "left").select("cls", F.coalesce("root", "cls").alias("location"))
     members = parts.filter("municipality <> '' and kind <> ''").select("record", F.xxhash64("municipality", "kind", "street", "civic").alias("cls")).distinct()

@@ -24,12 +24,12 @@ SAMPLES_PER_STRETCH = 100
 def neighbour_pairs(rows: DataFrame, *, id_: str, keys: Sequence[str], payload: Sequence[str], window: int, alike: Callable[[tuple, tuple], bool], stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Pairs ``a < b`` of ids that stand within ``window`` places of each other by one of the keys and are alike.
 
-    rows: one row per id, read several times, so best a written table. keys: string columns, not NULL.
+    rows: one row per id, read several times, so best a written table. keys: columns of arrays of texts; a row stands in a pass once for each.
     alike: compares two tuples of the payload columns. No rows or one row give no pairs.
     """
     total = rows.count()
     stretches = max(1, -(-total // stretch_rows))
-    passes = F.explode(F.array(*[F.struct(F.lit(i).alias("pass_"), F.col(k).alias("key_")) for i, k in enumerate(keys)])).alias("p")
+    passes = F.explode(F.concat(*[F.transform(k, lambda x, i=i: F.struct(F.lit(i).alias("pass_"), x.alias("key_"))) for i, k in enumerate(keys)])).alias("p")
     laid = rows.select(F.col(id_).alias("id_"), *payload, passes).select("id_", *payload, "p.pass_", F.concat_ws("\x00", "p.key_", F.hex("id_")).alias("key_"))
     if stretches > 1:
         share = min(1.0, SAMPLES_PER_STRETCH * stretches / total)
