@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import addresses
+from tabularium.llm import addresses, names
+from tabularium.llm.entries import by_first_row, entry_names
 from tabularium.sources.tables import table
 
 
@@ -15,10 +16,22 @@ def _address_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offices.unionByName(addresses.address_parts(reviewed, "address_id", "review_municipality", "review_street", "review_civic"))
 
 
+def _identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = by_first_row(table(spark, sf_dir, "identifier_observation"), table(spark, sf_dir, "entity_observation"), "normalised_value")
+    return rows.groupBy("entry").agg(F.collect_set("normalised_value").alias("ids"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of entries of one series that are one subject under different spellings."""
+    spelt = entry_names(table(spark, sf_dir, "entity_observation"), table(spark, sf_dir, "source_edition"))
+    pairs = names.name_variants(spelt, _identifiers(spark, sf_dir))
+    return pairs.select(F.col("a").alias("entry_id_1"), F.col("b").alias("entry_id_2"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of address records of one location."""
     return addresses.pairs_of(addresses.locations(_address_parts(spark, sf_dir)), "record", "location", "address_record_1", "address_record_2")
 
 
-QUERIES = {"p5_found": p5_found}
+QUERIES = {"p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
