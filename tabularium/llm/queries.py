@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import addresses, names
+from tabularium.llm import addresses, linkage, names
 from tabularium.llm.entries import by_first_row, entry_names
+from tabularium.session import written
 from tabularium.sources.tables import table
 
 
@@ -21,6 +22,27 @@ def _identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("entry").agg(F.collect_set("normalised_value").alias("ids"))
 
 
+FAMILIES = ("prefecture_list", "procurement_roll")
+
+
+def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of both families of lists that are one subject, with the confidence."""
+    observations, editions = table(spark, sf_dir, "entity_observation"), table(spark, sf_dir, "source_edition")
+    spelt = written(entry_names(observations, editions), "spelt")
+    common = names.common_words(names.parsed_names(spelt))
+    family = table(spark, sf_dir, "source_series").select(F.col("source_series_key").alias("series"), F.col("source_family").alias("side")).filter(F.col("side").isin(*FAMILIES))
+    named = spelt.join(family, "series").groupBy("entry").agg(F.min("side").alias("side"), F.collect_set("name").alias("names"))
+    offices = by_first_row(table(spark, sf_dir, "establishment_observation"), observations, "full_address_raw").groupBy("entry").agg(F.collect_set("full_address_raw").alias("addresses"))
+    profiles = named.join(_identifiers(spark, sf_dir), "entry", "left").join(offices, "entry", "left")
+    links = linkage.linked_records(profiles, FAMILIES, common)
+    return links.select(F.least("a", "b").alias("entry_id_1"), F.greatest("a", "b").alias("entry_id_2"), "pattern", "confidence")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of an entry of a prefecture list and an entry of a procurement roll that are one subject."""
+    return p1_links(spark, sf_dir).select("entry_id_1", "entry_id_2")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of entries of one series that are one subject under different spellings."""
     spelt = entry_names(table(spark, sf_dir, "entity_observation"), table(spark, sf_dir, "source_edition"))
@@ -33,5 +55,5 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.pairs_of(addresses.locations(_address_parts(spark, sf_dir)), "record", "location", "address_record_1", "address_record_2")
 
 
-QUERIES = {"p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
