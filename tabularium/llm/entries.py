@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tabularium.llm.distances import within
 
-_MASK = re.compile(r"x{3,}|\*+")
+_MASK = re.compile(r"x{2,}|[*#]+")
 _NUMBER = re.compile(r"\d{9,13}\Z")
 _PERSON = re.compile(r"[a-z]{5,7}[a-z0-9]{8,11}\Z")
+_PERSON_EXACT = re.compile(r"[a-z]{6}\d\d[a-z]\d\d[a-z]\d{3}[a-z]\Z")
 
 
 def entry_names(observations: DataFrame, editions: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def by_first_row(table: DataFrame, observations: DataFrame, *columns: str) -> Da
 
 def identifier_kind(value: str) -> str:
     """``number`` for a tax number, ``person`` for a personal code, ``masked`` if part is hidden, else empty."""
-    if _MASK.search(value):
+    if _MASK.search(value) and not _PERSON_EXACT.match(value):
         return "masked"
     if _NUMBER.match(value):
         return "number"
@@ -37,7 +38,7 @@ def identifier_kind(value: str) -> str:
 
 def identifier_text(value: str | None) -> str:
     """An identifier in lower case without spaces and punctuation."""
-    return re.sub(r"[^a-z0-9*]", "", (value or "").lower())
+    return re.sub(r"[^a-z0-9*#]", "", (value or "").lower())
 
 
 def _fits_mask(masked: str, full: str) -> bool:
