@@ -41,9 +41,13 @@ def identifier_text(value: str | None) -> str:
     return re.sub(r"[^a-z0-9*#]", "", (value or "").lower())
 
 
-def _fits_mask(masked: str, full: str) -> bool:
-    pattern = _MASK.split(masked)
-    return len(masked) == len(full) and re.match("".join(re.escape(p) + f".{{{len(h)}}}" for p, h in zip(pattern, [*_MASK.findall(masked), ""], strict=True)) + r"\Z", full) is not None
+def mask_misfits(masked: str, full: str) -> int | None:
+    """How many visible characters of a masked identifier differ from a full one; None if the lengths differ or under four are visible."""
+    if len(masked) != len(full):
+        return None
+    hidden = {i for m in _MASK.finditer(masked) for i in range(*m.span())}
+    shown = [i for i in range(len(full)) if i not in hidden]
+    return sum(masked[i] != full[i] for i in shown) if len(shown) > 3 else None
 
 
 def identifier_relation(a: list[str], b: list[str]) -> int:
@@ -56,11 +60,10 @@ def identifier_relation(a: list[str], b: list[str]) -> int:
                 continue
             if "masked" in (kx, ky):
                 masked, full = (x, y) if kx == "masked" else (y, x)
-                if kx == ky:
-                    best = max(best, 2 if masked == full else 1)
-                elif _fits_mask(masked, full):
+                misfits = mask_misfits(masked, full) if kx != ky else None
+                if misfits == 0 or (kx == ky and masked == full):
                     best = max(best, 2)
-                elif len(masked) == len(full):
+                elif misfits is not None and misfits > 2:
                     against = True
             elif x == y:
                 best = 4

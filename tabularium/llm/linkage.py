@@ -133,9 +133,11 @@ def estimate(counts: dict[int, int], rounds: int = 200) -> dict[int, float]:
 
 
 def admissible(pattern: int) -> bool:
-    """Whether a pattern has evidence besides one field: the name and a location or an identifier, or both of these."""
+    """Whether a pattern has evidence from two fields, none of them contradicted by the identifiers."""
     name, identifier, address = pattern // (LEVELS[1] * LEVELS[2]), pattern // LEVELS[2] % LEVELS[1], pattern % LEVELS[2]
-    return identifier > 0 and ((name > 0) + (identifier > 1) + (address > 3)) > 1
+    if name > 1 and address > 1 or name == 1 and address > 3:
+        return identifier > 0
+    return identifier > 1 and (name > 0 or address > 3)
 
 
 def linked_records(profiles: DataFrame, sides: tuple[str, str], common: frozenset[str], confidence: float = CONFIDENCE) -> DataFrame:

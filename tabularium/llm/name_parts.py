@@ -73,7 +73,8 @@ def parse_name(text: str) -> Name:
     t = re.sub(r"(?<![a-z0-9])(f|c)[. ]+(lli|zio)(?![a-z0-9])", r"\1\2", t)
     t = re.sub(r"(?<![a-z0-9.])(?:[a-z]\.){2,}(?:[a-z](?![a-z0-9]))?", lambda m: " " + m[0].replace(".", "") + " ", t)
     t = _LEGAL_SHORT.sub(r"\1 ", t)
-    t = re.sub(r"(?<![a-z0-9])([a-z]{2,})\.(?=[a-z]{5})", r"\1. ", t)
+    t = re.sub(r"(?<![a-z0-9])(?:f\.lli|flli)(?=[a-z])", "fratelli ", t)
+    t = re.sub(r"(?<![a-z0-9])([a-z]{2,})\.(?=[a-z]{5}|[a-z]{3,}\.)", r"\1. ", t)
     t = _CONTRACTED.sub(lambda m: f"{m[1]}_{m[2]}", t)
     t = _ABBREVIATED.sub(lambda m: m[1] + "__ ", t)
     words = re.sub(r"[^a-z0-9_]+", " ", t.replace("'", "")).split()
@@ -152,6 +153,8 @@ def word_score(a: str, b: str) -> float:
         return 0.0
     if within(x, y, 1 if short < 8 else 2):
         return max(0.8, jaro_winkler(x, y))
+    if (x in NICKNAMES) != (y in NICKNAMES) and x[0] == y[0] and within(x, y, 2):
+        return 0.76
     j = jaro_winkler(x, y)
     return j if j >= 0.94 else 0.0
 
