@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import addresses, linkage, names
+from tabularium.llm import addresses, leakage, linkage, names
 from tabularium.llm.entries import by_first_row, entry_names
 from tabularium.session import written
 from tabularium.sources.tables import table
@@ -55,5 +55,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.pairs_of(addresses.locations(_address_parts(spark, sf_dir)), "record", "location", "address_record_1", "address_record_2")
 
 
-QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of evaluation items, with the words covered."""
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of evaluation items."""
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+QUERIES = {"p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
