@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import addresses, leakage, linkage, names
+from tabularium.llm import addresses, encoding, leakage, linkage, names
 from tabularium.llm.entries import by_first_row, entry_names
 from tabularium.session import written
 from tabularium.sources.tables import table
@@ -65,5 +65,15 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-QUERIES = {"p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled documents with their text restored as far as possible."""
+    return encoding.garbled_texts(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a garbled passage."""
+    return p9_restored(spark, sf_dir).select("doc_id")
+
+
+QUERIES = {"p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
