@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import addresses, encoding, leakage, linkage, names
+from tabularium.llm import addresses, encoding, leakage, linkage, names, packing
 from tabularium.llm.entries import by_first_row, entry_names
 from tabularium.session import written
 from tabularium.sources.tables import table
@@ -55,6 +55,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.pairs_of(addresses.locations(_address_parts(spark, sf_dir)), "record", "location", "address_record_1", "address_record_2")
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in containers of each kind."""
+    return packing.packed_kinds(table(spark, sf_dir, "documents"), table(spark, sf_dir, "token_container"))
+
+
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of evaluation items, with the words covered."""
     return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
@@ -75,5 +80,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_restored(spark, sf_dir).select("doc_id")
 
 
-QUERIES = {"p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p7_packed": p7_packed, "p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
