@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from tabularium.plans import editions
+from tabularium.plans import commerce, editions, register, texts
 
 
 def modules() -> list[ModuleType]:
-    return [editions]
+    return [editions, register, commerce, texts]
