@@ -128,21 +128,21 @@ def guarded_diff(before: DataFrame, after: DataFrame, bundle: str, name: str, st
         return counted.withColumn("_ok", F.col(bundle).isNotNull() & (F.col("_n") == 1))
 
     old, new = unique(before), unique(after)
-    left, right = (x.filter("_ok").select(F.col(bundle), F.struct("_name", "_status").alias(s)) for x, s in ((old, "a"), (new, "b")))
+    left, right = (x.filter("_ok").select(F.col(bundle), F.struct("_name", "_status").alias(s)) for x, s in ((old, "_x"), (new, "_y")))
     both = left.join(right, bundle, "full_outer")
-    parts = both.filter("a is null or b is null").select(bundle, F.col("a").isNotNull().alias("_old"), F.explode(F.split(bundle, r"\|")).alias("_part"))
+    parts = both.filter("_x is null or _y is null").select(bundle, F.col("_x").isNotNull().alias("_old"), F.explode(F.split(bundle, r"\|")).alias("_part"))
     shared = parts.groupBy("_part").agg(F.max("_old").alias("_o"), F.min("_old").alias("_n")).filter("_o and not _n").select("_part")
     overlapping = parts.join(shared, "_part", "left_semi").select(bundle).distinct().withColumn("_changed", F.lit(True))
     marked = both.join(overlapping, bundle, "left").withColumn("_changed", F.coalesce("_changed", F.lit(False)))
-    renamed = F.coalesce(F.col("a._name") != F.col("b._name"), F.lit(False))
-    common = F.col("a").isNotNull() & F.col("b").isNotNull() & ~renamed
+    renamed = F.coalesce(F.col("_x._name") != F.col("_y._name"), F.lit(False))
+    common = F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~renamed
     figures = marked.agg(
-        F.count_if(F.col("a").isNull() & ~F.col("_changed")).alias("_added"),
-        F.count_if(F.col("b").isNull() & ~F.col("_changed")).alias("_gone"),
+        F.count_if(F.col("_x").isNull() & ~F.col("_changed")).alias("_added"),
+        F.count_if(F.col("_y").isNull() & ~F.col("_changed")).alias("_gone"),
         F.count_if(common).alias("common"),
-        F.count_if(common & ~F.col("a._status").eqNullSafe(F.col("b._status"))).alias("status_changed"),
-        F.count_if((F.col("_changed") & F.col("a").isNotNull()) | renamed).alias("_ua"),
-        F.count_if((F.col("_changed") & F.col("b").isNotNull()) | renamed).alias("_ub"),
+        F.count_if(common & ~F.col("_x._status").eqNullSafe(F.col("_y._status"))).alias("status_changed"),
+        F.count_if((F.col("_changed") & F.col("_x").isNotNull()) | renamed).alias("_ua"),
+        F.count_if((F.col("_changed") & F.col("_y").isNotNull()) | renamed).alias("_ub"),
     )
     loose = lambda x, n: x.filter("not _ok").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(n))
     one = figures.crossJoin(F.broadcast(loose(old, "_la"))).crossJoin(F.broadcast(loose(new, "_lb")))

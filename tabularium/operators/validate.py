@@ -48,7 +48,7 @@ def repeated_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 def orphans(rows: DataFrame, parents: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose reference is set but names no parent."""
     known = parents.select(*[F.col(p).alias(c) for c, p in on.items()]).distinct()
-    return rows.dropna(subset=list(on)).join(known, list(on), "left_anti")
+    return rows.dropna(subset=list(on)).join(known, list(on), "left_anti").select(*rows.columns)
 
 
 def unknown_codes(rows: DataFrame, column: str, codes: Sequence[str]) -> DataFrame:
