@@ -36,6 +36,8 @@ def same_street(a: str, b: str) -> bool:
     if a == b:
         return True
     x, y = a.split(), b.split()
+    if {w for w in x if w.isdigit()} != {w for w in y if w.isdigit()}:
+        return False
     if len(x) > len(y):
         x, y = y, x
     if not x or len(y) - len(x) > 1 or (len(y) > len(x) and len(x) > 1):

@@ -112,6 +112,8 @@ def char_cost(before: str, c: str, after: str) -> float:
         return 1.0
     if c in "“”«»–—€§±…•· ":
         return 1.0 if not (letter_before and letter_after) else 4.0
+    if c in "¿¡":
+        return 1.0 if letter_after and not letter_before else 6.0 if letter_before and letter_after else 3.0
     if c in "½¼¾":
         return 6.0 if letter_before or letter_after else 2.0
     if c in SIGNS:
