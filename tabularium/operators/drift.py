@@ -25,6 +25,8 @@ from tabularium.session import written
 RECORDS, DIAGNOSTICS = "records_json", "diagnostics_json"
 #: Two fields carry the same information if this share of the entries that have both agree.
 AGREEMENT = 0.5
+#: A pair of labels is known to name one field once so many files show it by their values.
+KNOWN_FILES = 2
 #: Runs whose values are read again are broadcast up to this many; beyond it they are joined by a shuffle.
 BROADCAST_RUNS = 500_000
 
@@ -134,7 +136,7 @@ def same_fact(old: object, new: object, old_label: str, new_label: str, old_rows
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: dict[str, list] = {"parse_run_id": [], "json_column": [], "change_kind": [], "field_name": [], "former_name": []}
+        out: dict[str, list] = {"parse_run_id": [], "json_column": [], "change_kind": [], "field_name": [], "former_name": [], "type": []}
         for row in batch.to_pylist():
             sides: dict[str, dict[str, dict[str, str]]] = {"gone": {}, "new": {}}
             for v in row["found"] or ():
@@ -154,7 +156,7 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 events += [("added", b, None) for b in new - renamed.keys()] + [("removed", a, None) for a in gone - set(renamed.values())]
                 events += [("retyped", b, renamed.get(b)) for b in now if (a := renamed.get(b, b)) in was and now[b] and was[a] and now[b] != was[a]]
                 for kind, name, former_name in events:
-                    for c, v in zip(out, (row["run"], column, kind, name, former_name), strict=True):
+                    for c, v in zip(out, (row["run"], column, kind, name, former_name, was.get(name) if kind == "removed" else now.get(name)), strict=True):
                         out[c].append(v)
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.string()) for c in out]))
 
@@ -185,7 +187,26 @@ def field_changes(snapshots: DataFrame) -> DataFrame:
     read = snapshots.select("parse_run_id", RECORDS).join(side, "parse_run_id").select(RECORDS, "wanted")
     found = read.mapInArrow(_values, "target string, side string, field string, entries array<string>, hashes array<string>")
     found = found.groupBy(F.col("target").alias("run")).agg(F.collect_set(F.struct("side", "field", "entries", "hashes")).alias("found"))
-    return changed.join(found, "run", "left").mapInArrow(_report, "parse_run_id string, json_column string, change_kind string, field_name string, former_name string")
+    ddl = "parse_run_id string, json_column string, change_kind string, field_name string, former_name string, type string"
+    return _with_known_names(written(changed.join(found, "run", "left").mapInArrow(_report, ddl), "changes")).drop("type")
+
+
+def _with_known_names(report: DataFrame) -> DataFrame:
+    """The report with a removal and an addition in one file made a renaming where other files show, by their values, that the two labels name one field.
+
+    Of several such pairs those count that are each other's most frequent; equal counts by name.
+    """
+    file = ["parse_run_id", "json_column"]
+    renamed = report.filter("change_kind = 'renamed'")
+    known = renamed.groupBy("json_column", F.least("former_name", "field_name").alias("_a"), F.greatest("former_name", "field_name").alias("_b")).agg(F.count_distinct("parse_run_id").alias("_n")).filter(F.col("_n") >= KNOWN_FILES)
+    gone, new = (report.filter(F.col("change_kind") == k).select(*file, F.col("field_name").alias(n), F.col("type").alias(f"{n}_type")) for k, n in (("removed", "former"), ("added", "name")))
+    pairs = gone.join(new, file).withColumns({"_a": F.least("former", "name"), "_b": F.greatest("former", "name")}).join(known, ["json_column", "_a", "_b"])
+    best = lambda side, other: F.row_number().over(Window.partitionBy(*file, side).orderBy(F.desc("_n"), other))
+    chosen = pairs.withColumns({"_x": best("former", "name"), "_y": best("name", "former")}).filter("_x = 1 and _y = 1")
+    kinds = F.array_compact(F.array(F.lit("renamed"), F.when(F.col("former_type") != F.col("name_type"), F.lit("retyped"))))
+    made = chosen.select(*file, F.explode(kinds).alias("change_kind"), F.col("name").alias("field_name"), F.col("former").alias("former_name"), F.col("name_type").alias("type"))
+    undone = chosen.select(*file, F.explode(F.array(F.struct(F.lit("removed").alias("change_kind"), F.col("former").alias("field_name")), F.struct(F.lit("added").alias("change_kind"), F.col("name").alias("field_name")))).alias("u")).select(*file, "u.*")
+    return report.join(undone, [*file, "change_kind", "field_name"], "left_anti").select(*report.columns).unionByName(made)
 
 
 _CELL = pa.struct([("type", pa.string()), ("as_string", pa.string()), ("as_number", pa.float64()), ("as_boolean", pa.bool_()), ("as_json", pa.string()), ("canonical", pa.string())])

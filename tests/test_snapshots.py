@@ -159,3 +159,9 @@ def test_unified_records_keep_every_typing(spark):
     assert all(len(v) == 1 for v in by_entry.values())
     kinds = {(r["field_name"], r["type"]) for r in appearing_alternatives(table).collect()}
     assert {("v", "number"), ("v", "array"), ("name", "string")} <= kinds
+
+
+def test_known_labels_rename_without_equal_values(spark):
+    pair = lambda label, shift: people(label, seat=lambda i: f"Via {i + shift}")
+    got = drift(spark, (pair("name", 0), {}), (pair("nome", 0), {}), (pair("name", 0), {}), ([{**r, "nome": f"other {r['entry_id']}"} | {} for r in [{k: v for k, v in x.items() if k != "name"} for x in pair("name", 0)]], {}))
+    assert got == {("r1", "records_json", "renamed", "nome"), ("r2", "records_json", "renamed", "name"), ("r3", "records_json", "renamed", "nome")}
