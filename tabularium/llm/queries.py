@@ -28,10 +28,10 @@ FAMILIES = ("prefecture_list", "procurement_roll")
 def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of both families of lists that are one subject, with the confidence."""
     observations, editions = table(spark, sf_dir, "entity_observation"), table(spark, sf_dir, "source_edition")
-    spelt = written(entry_names(observations, editions), "spelt")
-    common = names.common_words(names.parsed_names(spelt))
+    spelt = written(names.parsed_names(entry_names(observations, editions)), "spelt")
+    common = names.common_words(spelt)
     family = table(spark, sf_dir, "source_series").select(F.col("source_series_key").alias("series"), F.col("source_family").alias("side")).filter(F.col("side").isin(*FAMILIES))
-    named = spelt.join(family, "series").groupBy("entry").agg(F.min("side").alias("side"), F.collect_set("name").alias("names"))
+    named = spelt.join(family, "series").groupBy("entry").agg(F.min("side").alias("side"), F.collect_set("core").alias("names"))
     offices = by_first_row(table(spark, sf_dir, "establishment_observation"), observations, "full_address_raw").groupBy("entry").agg(F.collect_set("full_address_raw").alias("addresses"))
     profiles = named.join(_identifiers(spark, sf_dir), "entry", "left").join(offices, "entry", "left")
     links = linkage.linked_records(profiles, FAMILIES, common)
