@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.session import written
+from tabularium.session import discarded, written
 
 MAX_ROUNDS = 60
 
@@ -30,7 +30,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = _both_ways(star).filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        star = written(small, "edges")
+        former, star = star, written(small, "edges")
+        discarded(former)
         was, state = state, star.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == was:
             break

@@ -33,7 +33,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._tabularium_path = path
+    return back
+
+
+def discarded(table: DataFrame) -> None:
+    """Removes the files of a table made by ``written`` that nothing reads any more."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._tabularium_path)
+    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def shipped(spark: SparkSession) -> None:
