@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.window import Window
 
 from tabularium.functions.periods import within
+from tabularium.functions.scalars import canonical_digest
 
 
 def unknown_fields(schema: DataType, allowed: DataType, path: str = "") -> list[str]:
@@ -94,3 +96,53 @@ def require_none(problems: DataFrame, message: str) -> None:
     """An error with a few of the rows if there are any."""
     if few := problems.take(5):
         raise ValueError(f"{message}: {[r.asDict() for r in few]}")
+
+
+def score_mismatches(rows: DataFrame, by: Sequence[str], key: str, value: str, score: str, tolerance: float = 1e-9) -> DataFrame:
+    """Rows whose stored score is not the one computed from the counts of smaller and equal values."""
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_equal"))
+    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.withColumn("_below", F.coalesce(F.sum("_equal").over(w), F.lit(0)))
+    totals = counts.groupBy(*by).agg(F.sum("_equal").alias("_n"))
+    expected = F.try_divide(100.0 * (F.col("_below") + (F.col("_equal") - 1) / 2), F.nullif(F.col("_n") - 1, F.lit(0)))
+    joined = rows.join(below, [*by, value], "left").join(totals, list(by), "left") if by else rows.join(below, value, "left").crossJoin(F.broadcast(totals))
+    return joined.filter(F.coalesce(F.abs(expected - F.col(score)) > tolerance, ~expected.eqNullSafe(F.col(score)))).select(*by, key, F.col(score).alias("stored"), expected.alias("expected"))
+
+
+def unreconciled(rows: DataFrame, by: Sequence[str], category: str, stored: DataFrame, total: str) -> DataFrame:
+    """Groups whose stored counts by category, or their total, are not those of the rows: stored has ``by``, one column per category, and ``total``."""
+    kinds = [c for c in stored.columns if c not in (*by, total)]
+    found = rows.groupBy(*by).agg(*[F.count_if(F.col(category) == k).alias(f"_{k}") for k in kinds], F.count("*").alias("_total"))
+    joined = stored.join(found, list(by), "left") if by else stored.crossJoin(F.broadcast(found))
+    wrong = ~F.coalesce(F.col("_total"), F.lit(0)).eqNullSafe(F.col(total))
+    for k in kinds:
+        wrong = wrong | ~F.coalesce(F.col(f"_{k}"), F.lit(0)).eqNullSafe(F.col(k))
+    return joined.filter(wrong).select(*stored.columns)
+
+
+def disagreeing_shards(parts: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Keys that several shards report with different values."""
+    return parts.groupBy(*key).agg(F.count_distinct(F.struct(*values)).alias("versions")).filter("versions > 1")
+
+
+def composed(preserved: DataFrame, fresh: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The union of two tables and the keys that both have, which have to be none."""
+    return preserved.unionByName(fresh), preserved.select(*key).distinct().join(fresh.select(*key).distinct(), list(key))
+
+
+def unmatched(expected: DataFrame, found: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Keys that only one side has or whose values differ: key and ``fault`` (missing, unexpected, different)."""
+    a, b = (x.select(*key, F.struct(*values).alias(n)) for x, n in ((expected, "_e"), (found, "_f")))
+    fault = F.when(F.col("_f").isNull(), "missing").when(F.col("_e").isNull(), "unexpected").when(~F.col("_e").eqNullSafe(F.col("_f")), "different")
+    return a.join(b, list(key), "full_outer").select(*key, fault.alias("fault")).filter("fault is not null")
+
+
+def damaged_documents(rows: DataFrame, key: str, text: str, digest: str) -> DataFrame:
+    """JSON texts whose canonical digest is not the stored one."""
+    return rows.filter(~canonical_digest(F.col(text)).eqNullSafe(F.col(digest))).select(key)
+
+
+def shape_profile(rows: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """How often each shape of a text occurs (letters as A, digits as 9, runs shortened), so that a structure is seen and no value."""
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col(column), r"\p{L}+", "A"), r"\p{N}+", "9"), r"\s+", " ")
+    return rows.groupBy(*by, shape.alias("shape")).agg(F.count("*").alias("n"))

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.functions import filters
 from tabularium.functions.fold import folded
 from tabularium.functions.scalars import bundle_key, ladder, mask_ids, normalised_name, number_key, percent, shard_digit, street_and_civic
 from tabularium.operators import editions as E
 from tabularium.operators import metrics as M
 from tabularium.operators import relations as R
-from tabularium.operators import resolve, sampling, supersede, validate
+from tabularium.operators import geo, project, resolve, sampling, supersede, validate
 from tabularium.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -611,3 +612,55 @@ def listed_per_authority(s: SparkSession, d: str) -> DataFrame:
     """Listed rows of each authority."""
     out = _observed(s, d).groupBy("authority_key").agg(F.count_if(F.col("source_status_code") == "listed").alias("listed"), F.count("*").alias("n"))
     return out.withColumn("percent", percent(F.col("listed"), F.col("n"))).drop("percent")
+
+
+@query("""SELECT a.entry_id, a.n_identifiers, b.n_offices FROM (SELECT o.entry_id, count(*) AS n_identifiers FROM identifier_observation i JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) a
+FULL OUTER JOIN (SELECT o.entry_id, count(*) AS n_offices FROM establishment_observation e JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) b ON a.entry_id = b.entry_id WHERE a.entry_id IS NOT NULL""")
+def entry_lineage(s: SparkSession, d: str) -> DataFrame:
+    """Identifiers and offices of entries, led back over the rows that name them."""
+    rows = _observed(s, d).select("entity_observation_id", "entry_id")
+    ids = table(s, d, "identifier_observation").join(rows, "entity_observation_id").groupBy("entry_id").agg(F.count("*").alias("n_identifiers"))
+    offices = table(s, d, "establishment_observation").join(rows, "entity_observation_id").groupBy("entry_id").agg(F.count("*").alias("n_offices"))
+    return ids.join(offices, "entry_id", "left").select("entry_id", "n_identifiers", "n_offices")
+
+
+@query("""SELECT parse_run_id FROM (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY created_at DESC, snapshot_sha256 DESC) AS k FROM parse_snapshot WHERE record_count >= 5 AND edition_id IS NOT NULL) WHERE k = 1""")
+def newest_usable_files(s: SparkSession, d: str) -> DataFrame:
+    """The newest file of each edition with five records or more."""
+    files = table(s, d, "parse_snapshot").filter("edition_id is not null").select("parse_run_id", "edition_id", "created_at", "snapshot_sha256", "record_count")
+    jobs, _ = project.selected_jobs(files, ["edition_id"], "created_at", "snapshot_sha256", {"enough_records": F.col("record_count") >= 5})
+    return jobs.select("parse_run_id")
+
+
+@query("""SELECT coalesce(m.edition_id, o.edition_id) AS edition_id, CASE WHEN o.edition_id IS NULL THEN 'missing' WHEN m.edition_id IS NULL THEN 'unexpected' ELSE 'different' END AS fault
+FROM (SELECT edition_id, CAST(max(record_count) AS BIGINT) AS n FROM parse_snapshot GROUP BY 1) m FULL OUTER JOIN (SELECT edition_id, count(DISTINCT entry_id) AS n FROM entity_observation GROUP BY 1) o USING (edition_id) WHERE m.n IS DISTINCT FROM o.n""")
+def unmatched_editions(s: SparkSession, d: str) -> DataFrame:
+    """Editions whose files and observations don't name as many entries."""
+    files = table(s, d, "parse_snapshot").groupBy("edition_id").agg(F.max("record_count").cast("bigint").alias("n"))
+    return validate.unmatched(files, _observed(s, d).groupBy("edition_id").agg(F.count_distinct("entry_id").alias("n")), ["edition_id"], ["n"])
+
+
+@query("""SELECT source_hint, regexp_replace(regexp_replace(regexp_replace(raw_value, '\\p{L}+', 'A', 'g'), '\\p{N}+', '9', 'g'), '\\s+', ' ', 'g') AS shape, count(*) AS n FROM identifier_observation GROUP BY 1, 2""")
+def identifier_shape_profile(s: SparkSession, d: str) -> DataFrame:
+    """The shapes of identifiers as printed, without any value."""
+    return validate.shape_profile(table(s, d, "identifier_observation"), ["source_hint"], "raw_value")
+
+
+@query("""SELECT entity_observation_id FROM entity_observation WHERE observation_date BETWEEN DATE '2023-06-01' AND DATE '2023-12-31' AND source_status_code = 'listed' AND contains(lower(source_name_normalised), 'fratelli')""")
+def listed_brothers(s: SparkSession, d: str) -> DataFrame:
+    """Listed rows of a period whose name contains a text; all of it reaches the scan or stays in generated code."""
+    wanted = filters.in_period(F.col("observation_date"), "2023-06-01", "2023-12-31") & filters.in_scope({"source_status_code": "listed", "authority_key": "all"}) & filters.mentions("Fratelli", [F.col("source_name_normalised")])
+    return _observed(s, d).filter(wanted).select("entity_observation_id")
+
+
+@query()
+def reviewed_street_keys(s: SparkSession, d: str) -> DataFrame:
+    """Reviewed streets with their key for exact linkage."""
+    return table(s, d, "address_review").filter("review_street is not null").select("address_id", geo.street_key(F.col("review_street")).alias("street_key"))
+
+
+@query()
+def projected_identifiers(s: SparkSession, d: str) -> DataFrame:
+    """Identifier observations projected from observed rows with keys that are the same in every run."""
+    rows = _observed(s, d).join(table(s, d, "identifier_observation").select("entity_observation_id", "raw_value"), "entity_observation_id", "left").select("edition_id", "entity_observation_id", "source_name_raw", "raw_value", F.lit(None).cast("string").alias("office"), F.lit(None).cast("string").alias("activity"))
+    return project.projected(rows, "edition_id", "entity_observation_id", "source_name_raw", "raw_value", "office", "activity")["identifiers"]
