@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.address_parts import parse_address
 from tabularium.llm.addresses import municipality_likeness, same_location, same_street
 from tabularium.llm.entries import identifier_kind, identifier_relation, identifier_text
-from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, phonetic, same_name
+from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, phonetic, same_name, unjoined
 from tabularium.session import written
 
 #: Levels of the fields name, identifier and address; patterns are their product.
@@ -58,7 +58,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iter
     for batch in batches:
         names, ids, addresses, keys = [], [], [], []
         for spelt, values, written_as in zip(*(batch.column(c).to_pylist() for c in ("names", "ids", "addresses")), strict=True):
-            cores = sorted({n for n in spelt or () if n and n.strip()})
+            cores = sorted({unjoined(n, common) for n in spelt or () if n and n.strip()})
             plain = sorted({t for v in values or () if (t := identifier_text(v))})
             places = sorted({tuple(parse_address(a)) for a in written_as or ()})
             names.append(cores)

@@ -24,7 +24,7 @@ INDIVIDUAL = r"ditta individuale|impresa individuale|impresa edile|imp ind(?:ivi
 #: Words without weight, and usual short forms of whole words.
 STOP = {"di", "e", "ed", "a", "c", "figli", "dei", "del", "della"}
 LOOSE = {"gruppo", "group", "eredi", "italiana", "italia", "fratelli", "holding", "a", "2", "0"}
-LEGAL_WORDS = ("societa", "responsabilita", "limitata", "semplificata", "cooperativa", "accomandita", "semplice", "individuale", "impresa", "unipersonale", "consorzio", "fratelli", "azioni")
+LEGAL_WORDS = ("societa", "responsabilita", "limitata", "semplificata", "cooperativa", "accomandita", "semplice", "individuale", "impresa", "unipersonale", "consorzio", "fratelli", "azioni", "detto")
 SHORT = {"flli": "fratelli", "czio": "consorzio", "cons": "consorzio", "cls": "calcestruzzi", "soc": "societa"}
 #: Given names and their usual short forms.
 NICKNAMES = {
@@ -112,6 +112,29 @@ def code_keys(word: str) -> set[str]:
     return {code, *(code[:i] + code[i + 1 :] for i in range(len(code)))} if len(code) > 3 else {code}
 
 
+def _initial(letter: str, word: str) -> float:
+    """How well an initial fits a word: given names before other words."""
+    if word[0] == letter or any(n[0] == letter for n in _NICK.get(word, ())):
+        return 0.62 if word in NICKNAMES or word in _NICK else 0.6
+    return 0.0
+
+
+def unjoined(core: str, common: frozenset[str]) -> str:
+    """Core words with those taken apart that begin or end with a common word written together with another."""
+    out = []
+    for word in core.split(" "):
+        plain = word.strip(".")
+        if len(plain) > 8 and word not in common:
+            cut = next((n for n in range(len(plain) - 3, 3, -1) if plain[:n] in common or plain[:n] in ("consorzio", "fratelli", "flli")), 0)
+            if not cut:
+                cut = next((n for n in range(3, len(plain) - 3) if plain[n:] in common or plain[n:] in ("consorzio", "fratelli", "flli")), 0)
+            if cut:
+                out += [SHORT.get(w, w) for w in (word[:cut], word[cut:]) if w not in STOP]
+                continue
+        out.append(word)
+    return " ".join(out)
+
+
 @lru_cache(maxsize=1_000_000)
 def word_score(a: str, b: str) -> float:
     """How well two words agree: 1 equal, less for typos, nicknames and short forms, 0 for different words."""
@@ -125,7 +148,7 @@ def word_score(a: str, b: str) -> float:
         head, _, tail = short.partition(".")
         full_plain = full.replace(".", "")
         if len(head) == 1 and not tail:
-            return 0.6 if full_plain[0] == head or any(n[0] == head for n in _NICK.get(full_plain, ())) else 0.0
+            return _initial(head, full_plain)
         if full_plain.startswith(head) and (not tail or full_plain.endswith(tail)):
             return 0.9
         if len(head) > 2 and within(full_plain[: len(head)], head, 1) and (not tail or full_plain.endswith(tail)):
@@ -134,7 +157,7 @@ def word_score(a: str, b: str) -> float:
     if x.isdigit() or y.isdigit():
         return 0.0
     if len(x) == 1 or len(y) == 1:
-        return 0.6 if x[0] == y[0] or any(n[0] == min(x, y, key=len) for n in _NICK.get(max(x, y, key=len), ())) else 0.0
+        return _initial(min(x, y, key=len), max(x, y, key=len))
     if y in _NICK.get(x, ()) or x in _NICK.get(y, ()):
         return 0.85
     if x in NICKNAMES and y in NICKNAMES:
@@ -142,6 +165,8 @@ def word_score(a: str, b: str) -> float:
     for short_name, full_name in ((x, y), (y, x)):
         if any(within(full_name, n, 1) for n in _NICK.get(short_name, ())):
             return 0.8
+        if len(short_name) > 5 and full_name in NICKNAMES and any(len(n) > 4 and within(short_name, n, 1) for n in NICKNAMES[full_name].split()):
+            return 0.78
     short = min(len(x), len(y))
     if short < 3:
         return 0.0

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.llm.entries import identifier_relation, identifier_text
-from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, parse_name, phonetic, same_name
+from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, parse_name, phonetic, same_name, unjoined
 from tabularium.operators.components import components
 from tabularium.session import written
 
@@ -60,7 +60,8 @@ def block_keys(core: str, common: frozenset[str]) -> list[str]:
 
 def _blocks(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([block_keys(c, common) for c in batch.column("core").to_pylist()], pa.list_(pa.string()))], [*batch.schema.names, "keys"])
+        cores = [unjoined(c, common) for c in batch.column("core").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("series"), pa.array(cores, pa.string()), batch.column("node"), pa.array([block_keys(c, common) for c in cores], pa.list_(pa.string()))], ["series", "core", "node", "keys"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
