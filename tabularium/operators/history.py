@@ -6,11 +6,12 @@ are compared from the root; only children of differing nodes are looked at, and
 only the rows of differing leaves are compared key by key. A key that is new or
 differs opens a version, a key that vanishes or differs closes one.
 
-Rows are shuffled once, by (group, leaf). All later steps (latest row per key, leaf
-digests, comparison of leaves, rows of differing leaves, pairing of version
-bounds) cluster by supersets of that, so they need no shuffle of the rows. The
-depth of a tree follows the largest snapshot of its group, so a group that
-holds a third of all rows has as many more leaves.
+The rows of the input are read and shuffled once, as hashes, by (group, leaf): the
+latest row per key and the leaves, each with its digest and its few keys, are made
+from that and written. The levels above read only the digests of that table; of
+its rows only those of differing leaves are used. The depth of a tree follows the
+largest snapshot of its group, so a group that holds a third of all rows has as
+many more leaves, each about as small as any other.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from tabularium.session import written
 FANOUT_BITS = 4
 LEAF_ROWS = 32
 OPEN_END = "9999-12-31"
+_FACTS = ("_depth", "_last", "_date", "_next_date")
 
 
 def _differing(nodes: DataFrame, node: list[str]) -> DataFrame:
@@ -74,14 +76,14 @@ def key_history(rows: DataFrame, tree: DataFrame, *, snapshot: str, key: str, di
         .select(F.col(snapshot).alias("_snapshot"), F.col(key).cast("bigint").alias("_key"), version.alias("_version"), tie.alias("_tie"), digest.alias("_hash"))
         .join(tree, "_snapshot")
         .withColumn("_leaf", leaf)
-        .select("_group", "_leaf", "_at", "_key", "_depth", "_last", "_date", "_next_date", F.struct("_version", "_tie", "_hash").alias("_row"))
+        .select("_group", "_leaf", "_at", "_key", *_FACTS, F.struct("_version", "_tie", "_hash").alias("_row"))
         .repartition("_group", "_leaf")
         .groupBy("_group", "_leaf", "_at", "_key")
-        .agg(F.max("_row")["_hash"].alias("_hash"), *[F.first(c).alias(c) for c in ("_depth", "_last", "_date", "_next_date")])
+        .agg(F.max("_row")["_hash"].alias("_hash"), *[F.first(c).alias(c) for c in _FACTS])
     )
-    digests = placed.groupBy("_group", "_leaf", "_at").agg(F.bit_xor(F.xxhash64("_key", "_hash")).alias("_digest"), F.first("_depth").alias("_depth"), F.first("_last").alias("_last"))
-    if deepest:
-        digests = written(digests, "leaves")
+    leaves = placed.groupBy("_group", "_leaf", "_at").agg(F.bit_xor(F.xxhash64("_key", "_hash")).alias("_digest"), *[F.first(c).alias(c) for c in _FACTS], F.collect_list(F.struct("_key", "_hash")).alias("_rows"))
+    leaves = written(leaves, "leaves")
+    digests = leaves.select("_group", "_leaf", "_at", "_depth", "_last", "_digest")
 
     def level(depth: int) -> DataFrame:
         node = F.expr(f"shiftright(_leaf, (_depth - {depth}) * {FANOUT_BITS})")
@@ -92,31 +94,30 @@ def key_history(rows: DataFrame, tree: DataFrame, *, snapshot: str, key: str, di
         )
 
     depths = tree.select("_group", "_depth").distinct()
-    front = _differing(level(0), ["_node"])
-    leaves = [front.join(depths.filter("_depth = 0"), "_group", "left_semi")]
+    front = written(_differing(level(0), ["_node"]), "differing")
+    changed = [front.join(depths.filter("_depth = 0"), "_group", "left_semi")]
     for d in range(1, deepest + 1):
         up = front.withColumnRenamed("_node", "_up")
         below = level(d).withColumn("_up", F.shiftright("_node", FANOUT_BITS)).join(_with_before(up), ["_group", "_up", "_at"], "left_semi")
         front = _differing(below, ["_node"]).withColumn("_up", F.shiftright("_node", FANOUT_BITS)).join(up, ["_group", "_up", "_at"], "left_semi").drop("_up")
-        leaves.append(front.join(depths.filter(F.col("_depth") == d), "_group", "left_semi"))
-    changed = reduce(DataFrame.unionByName, leaves).withColumnRenamed("_node", "_leaf")
-    if deepest:
-        changed = written(changed, "differing")
-    marks = changed.select("_group", "_leaf", F.explode(F.array(F.struct(F.col("_at").alias("_at"), F.lit(True).alias("_now")), F.struct((F.col("_at") - 1).alias("_at"), F.lit(False).alias("_now")))).alias("m"))
-    marks = marks.groupBy("_group", "_leaf", F.col("m._at").alias("_at")).agg(F.max("m._now").alias("_as_now"), F.max(~F.col("m._now")).alias("_as_before"))
-    sides = (
-        placed.join(marks, ["_group", "_leaf", "_at"])
-        .withColumn(
-            "_side",
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        F.when(F.col("_as_now"), F.struct(F.col("_at").alias("at"), F.col("_date").alias("date"), F.col("_hash").alias("now"), F.lit(None).cast("bigint").alias("before"))),
-                        F.when(F.col("_as_before"), F.struct((F.col("_at") + 1).alias("at"), F.col("_next_date").alias("date"), F.lit(None).cast("bigint").alias("now"), F.col("_hash").alias("before"))),
-                    )
-                )
-            ),
+        front = written(front, "differing")
+        changed.append(front.join(depths.filter(F.col("_depth") == d), "_group", "left_semi"))
+    places = reduce(DataFrame.unionByName, changed).withColumnRenamed("_node", "_leaf")
+    marks = places.select("_group", "_leaf", F.explode(F.array(F.struct(F.col("_at").alias("_at"), F.lit(True).alias("_now")), F.struct((F.col("_at") - 1).alias("_at"), F.lit(False).alias("_now")))).alias("m"))
+    marks = marks.groupBy("_group", "_leaf", F.col("m._at").alias("_at")).agg(F.max("m._now").alias("_as_now"), F.max(~F.col("m._now")).alias("_as_before")).hint("merge")
+    nothing = F.lit(None).cast("bigint")
+    side = F.array_compact(
+        F.array(
+            F.when(F.col("_as_now"), F.struct(F.col("_at").alias("at"), F.col("_date").alias("date"), F.col("_hash").alias("now"), nothing.alias("before"))),
+            F.when(F.col("_as_before"), F.struct((F.col("_at") + 1).alias("at"), F.col("_next_date").alias("date"), nothing.alias("now"), F.col("_hash").alias("before"))),
         )
+    )
+    sides = (
+        leaves.drop("_digest", "_depth", "_last")
+        .join(marks, ["_group", "_leaf", "_at"])
+        .select("_group", "_leaf", "_at", "_date", "_next_date", "_as_now", "_as_before", F.inline("_rows"))
+        .withColumn("_side", F.explode(side))
+        .repartition("_group", "_leaf")
         .groupBy("_group", "_leaf", "_key", F.col("_side.at").alias("_at"))
         .agg(F.max("_side.now").alias("_now"), F.max("_side.before").alias("_before"), F.max("_side.date").alias("_date"))
         .filter(~F.col("_now").eqNullSafe(F.col("_before")))
