@@ -47,9 +47,9 @@ def _with_before(places: DataFrame) -> DataFrame:
 def snapshot_tree(snapshots: DataFrame, *, snapshot: str, group: str, date: Column, order: list[Column], rows: Column, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Each snapshot's position in its group, its date, and the depth of its group's trees.
 
-    Snapshots without id, group or date are left out. rows: the number of rows of the snapshot.
+    Snapshots without id, group or date are left out; a repeated snapshot counts once. rows: the number of rows of the snapshot.
     """
-    known = snapshots.withColumns({"_date": date, "_rows": F.coalesce(rows, F.lit(0)), "_group": F.xxhash64(group)}).filter(F.col(snapshot).isNotNull() & F.col(group).isNotNull() & F.col("_date").isNotNull())
+    known = snapshots.withColumns({"_date": date, "_rows": F.coalesce(rows, F.lit(0)), "_group": F.xxhash64(group)}).filter(F.col(snapshot).isNotNull() & F.col(group).isNotNull() & F.col("_date").isNotNull()).dropDuplicates([snapshot])
     depth = known.groupBy("_group").agg(F.greatest(F.lit(0), F.ceil(F.log(2.0, F.greatest(F.max("_rows"), F.lit(1)) / F.lit(leaf_rows)) / FANOUT_BITS)).cast("int").alias("_depth"))
     w = Window.partitionBy("_group").orderBy("_date", *order, F.col(snapshot))
     placed = known.select(

@@ -25,11 +25,12 @@ _OUT = "_group bigint, _at int, _key bigint, _kind int"
 def snapshot_positions(snapshots: DataFrame, *, snapshot: str, group: str, order: Sequence[Column]) -> DataFrame:
     """Each snapshot with its group's number, its position and the snapshots around it.
 
-    Snapshots without an id or a group are left out; equal order values fall back on the id.
+    Snapshots without an id or a group are left out; equal order values fall back on the id; a repeated snapshot counts once.
     """
     w = Window.partitionBy("_group").orderBy(*order, F.col(snapshot))
     return (
         snapshots.filter(F.col(snapshot).isNotNull() & F.col(group).isNotNull())
+        .dropDuplicates([snapshot])
         .withColumn("_group", F.xxhash64(group))
         .select(
             F.col(snapshot).alias("_snapshot"),

@@ -133,7 +133,8 @@ def latest_documents(s: SparkSession, d: str) -> DataFrame:
 def _ends(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     published = F.struct(F.coalesce("publication_date", "reference_from"), "created_at", "edition_id")
     ends = _editions(s, d).groupBy("source_series_key").agg(F.min(published)["edition_id"].alias("_first"), F.max(published)["edition_id"].alias("_last"))
-    rows = _observed(s, d).join(_editions(s, d).select("edition_id", "source_series_key"), "edition_id").join(ends, "source_series_key")
+    observed = _observed(s, d).select("edition_id", "entry_id", "source_status_code", "source_name_normalised", "projected_at")
+    rows = observed.join(_editions(s, d).select("edition_id", "source_series_key"), "edition_id").join(ends, "source_series_key")
     rows = rows.withColumn("at", F.unix_micros("projected_at"))
     return rows.filter("edition_id = _first"), rows.filter("edition_id = _last")
 

@@ -165,3 +165,12 @@ def test_known_labels_rename_without_equal_values(spark):
     pair = lambda label, shift: people(label, seat=lambda i: f"Via {i + shift}")
     got = drift(spark, (pair("name", 0), {}), (pair("nome", 0), {}), (pair("name", 0), {}), ([{**r, "nome": f"other {r['entry_id']}"} | {} for r in [{k: v for k, v in x.items() if k != "name"} for x in pair("name", 0)]], {}))
     assert got == {("r1", "records_json", "renamed", "nome"), ("r2", "records_json", "renamed", "name"), ("r3", "records_json", "renamed", "nome")}
+
+
+def test_repeated_snapshots_count_once(spark):
+    _, _, s, o = frames(spark)
+    once, twice = (snapshot_positions(x, snapshot="snap", group="series", order=[F.col("day")]) for x in (s, s.unionByName(s)))
+    assert snapshot_changes(o, once, **args()).exceptAll(snapshot_changes(o, twice, **args())).count() == 0
+    trees = [snapshot_tree(x, snapshot="snap", group="series", date=F.col("day"), order=[], rows=F.lit(12)) for x in (s, s.unionByName(s))]
+    a, b = ({tuple(r) for r in key_history(o, t, **args()).collect()} for t in trees)
+    assert a == b
