@@ -77,7 +77,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a garbled passage."""
-    return p9_restored(spark, sf_dir).select("doc_id")
+    return p9_restored(spark, sf_dir).select("doc_id").distinct()
 
 
 QUERIES = {"p7_packed": p7_packed, "p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
