@@ -184,8 +184,8 @@ def _word_cost(word: str) -> float:
     return cost(word)
 
 
-#: Any character outside the plainest set, a capital after a small letter, or a sign where letters stand: texts without these need no look.
-SUSPECT = "[^\\x00-\\x7F" + LOWER + UPPER + "’‘“”–—«»€°§²ªº±…•· ]|[a-zß-ÿ][" + UPPER + "]|(?<![A-Za-z])[çëïñßœ](?![A-Za-z])|[²ªº§±€«»](?=[A-Za-z])(?<=[a-z][²ªº§±€«»])|[a-z][²ªº§±]"
+#: Every character of a garbled passage can also stand in a correct text, so only texts of ASCII alone need no look.
+SUSPECT = "[^\\x00-\\x7F]"
 
 
 def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,7 @@ def _repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def garbled_texts(documents: DataFrame) -> DataFrame:
     """Documents with a garbled passage: ``doc_id``, ``restored`` text, ``layers`` taken off, ``lost``: whether some garbled characters remain.
 
-    Only texts with a suspect character leave the JVM. NULL texts and texts without such a character are no case; texts are read
+    Only texts with a character beyond ASCII leave the JVM. NULL texts and texts without such a character are no case; texts are read
     whole; every copy of a text is reported, and a repeated row as often as it stands.
     """
     return documents.filter(F.col("text").rlike(SUSPECT)).select("doc_id", "text").mapInArrow(_repaired, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, restored string, layers int, lost boolean")

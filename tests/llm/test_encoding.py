@@ -57,3 +57,29 @@ def test_table(spark):
     assert sorted((r["doc_id"], r["layers"], r["lost"]) for r in got) == [(2, 1, False), (2, 1, False), (5, 0, True), (6, 1, False)]
     assert {r["restored"] for r in got if r["doc_id"] == 2} == {ITALIAN}
     assert garbled_texts(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+#: Garbled passages whose every sign is usual elsewhere.
+PLAIN_SIGNS = [
+    ("RORBMOCCA â€“ Pietratufara", "RORBMOCCA – Pietratufara"), ("allegato (Â§ 70).", "allegato (§ 70)."), ("PRILSIDO ÔÇô Roccanidora", "PRILSIDO – Roccanidora"),
+    ("un capitale di Ç 705.108,00 nel comune", "un capitale di € 705.108,00 nel comune"), ("a 20 Â°C", "a 20 °C"), ("gli Â«elenchi", "gli «elenchi"),
+]
+
+
+def test_signs_that_are_usual_elsewhere(spark):
+    rows = [(k, bad) for k, (bad, _) in enumerate(PLAIN_SIGNS)]
+    got = garbled_texts(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["restored"] for r in got} == {k: good for k, (_, good) in enumerate(PLAIN_SIGNS)}
+
+
+def test_what_repair_changes_is_looked_at():
+    signs = "àèéìòùâêîôûäöüßçëïñœÀÈÉÌÒÙÄÖÜÇ’‘“”„–—«»€°§²³ªº±…•·½"
+    for real, wrong in WRONG:
+        for sign in signs:
+            for pattern in ("uno {} due", "uno ({} 7)", "7 {}C", "caff{}", "perch{} no", "l{}elenco"):
+                try:
+                    bad = garble(pattern.format(sign), real, wrong)
+                except UnicodeEncodeError:
+                    continue
+                _, layers, lost = repair(bad)
+                assert not (layers or lost) or re.search(SUSPECT, bad), bad
