@@ -30,6 +30,8 @@ SIGNS = "’‘“”„–—«»€°§²³ªº±…•·½¼¾×÷©®™¿¡
 COMMON = frozenset(LOWER + UPPER + RARE + "’‘“”„–—«»€°§²³ªº±…•·½©®™¿¡ ")
 _ELIDED = frozenset(("l", "d", "un", "dell", "nell", "all", "sull", "dall", "coll", "quell", "c", "s", "n", "m", "j", "qu", "t", "jusqu", "lorsqu", "puisqu", "quest", "sant", "grand", "anch", "com", "dov", "cos"))
 _VOWELS = frozenset("aeiouhyàèéêâîôAEIOUH")
+#: Signs beside a letter that is spoken of as a letter.
+_CITED = frozenset(",;/()[]\"'’‘“”«»-")
 
 
 def _byte_map(encoding: str) -> dict[str, int]:
@@ -93,7 +95,9 @@ def char_cost(before: str, c: str, after: str) -> float:
         return 10.0
     letter_before, letter_after = before.isalpha(), after.isalpha()
     if c in LOWER:
-        return 1.0 if letter_before or letter_after or c in "àèéìòùâêîôûœäöü" else 6.0
+        if letter_before or letter_after or c in "àèéìòù":
+            return 1.0
+        return 6.0 if c in "çëïñß" else 1.0 if before in _CITED or after in _CITED else 5.0
     if c in UPPER or c in RARE:
         if c.isupper():
             if before.islower() or (before.isalpha() and before.isupper() and after.islower() and code < 0x100):

@@ -83,3 +83,8 @@ def test_what_repair_changes_is_looked_at():
                     continue
                 _, layers, lost = repair(bad)
                 assert not (layers or lost) or re.search(SUSPECT, bad), bad
+
+
+@pytest.mark.parametrize("text, good", [("CAVE GORULLI û Montemelusa", "CAVE GORULLI – Montemelusa"), ("list û page 77", "list – page 77"), ("die Umlaute ä, ö, ü", None), ("il tasto «û»", None), ("è lì o là, ò ì ù", None)])
+def test_lone_letters(text, good):
+    assert repair(text) == ((good, 1, False) if good else (text, 0, False))
