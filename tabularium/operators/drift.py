@@ -1,10 +1,10 @@
 """Schemas that drift between the JSON files of a series.
 
-Each file's objects are reduced to a tagged union: per field the types met, each
-with its count. Files are chained in order of time by a few columns only, their
-unions are compared, and only for files where one field vanished while
-another appeared are values read again, to tell a renaming from a removal and an
-addition.
+Each file's objects are reduced to their fields with the main type of each. Files are
+chained in order of time by a few columns only, these are compared, and only for
+files where one field vanished while another appeared are values read again, to tell
+a renaming from a removal and an addition. The alternatives of a field are a tagged
+union: per path the types met in any value, each with its count.
 """
 
 from __future__ import annotations
@@ -256,14 +256,50 @@ def unified_records(snapshots: DataFrame) -> DataFrame:
     return once.mapInArrow(_records, f"parse_run_id string, source_series_key string, position int, entry_id bigint, fields map<string,{_CELL_DDL}>")
 
 
+_PATHS = pa.list_(pa.struct([("c", pa.string()), ("p", pa.list_(pa.string())), ("t", pa.string()), ("n", pa.int64())]))
+_PATHS_DDL = "run string, series string, at bigint, met array<struct<c:string,p:array<string>,t:string,n:bigint>>"
+
+
+def path_types(objects: list, skipped: frozenset[str] = frozenset()) -> Counter:
+    """The number of non-null values of each (path, type tag) in the objects, whatever their nesting.
+
+    A path is the labels from the top; the elements of an array are one further step ``[]``. ``skipped`` are top-level fields left out.
+    """
+    met: Counter = Counter()
+    waiting = [((k,), v) for o in objects if o.__class__ is dict for k, v in o.items() if k not in skipped]
+    while waiting:
+        path, value = waiting.pop()
+        kind = value.__class__
+        if value is not None:
+            met[path, _TAGS[kind]] += 1
+        if kind is dict:
+            waiting.extend(((*path, k), v) for k, v in value.items())
+        elif kind is list:
+            waiting.extend(((*path, "[]"), v) for v in value)
+    return met
+
+
+def _alternatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        met = []
+        for records, diagnostics in zip(*(batch.column(c).to_pylist() for c in (RECORDS, DIAGNOSTICS)), strict=True):
+            counts = ((RECORDS, path_types(decoded(records, list), frozenset(("entry_id",)))), (DIAGNOSTICS, path_types([decoded(diagnostics, dict)])))
+            met.append([{"c": c, "p": list(p), "t": t, "n": n} for c, types in counts for (p, t), n in types.items()])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(met, _PATHS)], ["run", "series", "at", "met"])
+
+
 def appearing_alternatives(snapshots: DataFrame) -> DataFrame:
-    """For each series, column and field every main type it ever had, with the first and last file and the number of files.
+    """For each series, column and field, also within objects and arrays, every type any of its values ever had, with the first and last file and the numbers of files and values.
 
-    Result: source_series_key, json_column, field_name, type, first_seen, last_seen, n_files. A field that holds only nulls in a file adds nothing.
+    Result: source_series_key, json_column, field_name, type, first_seen, last_seen, n_files, n_values. A nested field's name is its path with dots;
+    the elements of an array are the step ``[]``. Paths are told apart by their steps, so a label that holds a dot is never merged with a nested
+    field. Nulls have no type and add nothing.
     """
-    files = inventory(snapshots)
-    cells = files.select("series", "at", F.explode(F.array(F.struct(F.lit(RECORDS).alias("c"), F.col("rec").alias("x")), F.struct(F.lit(DIAGNOSTICS).alias("c"), F.col("dia").alias("x")))).alias("s"))
-    cells = cells.select("series", "at", F.col("s.c").alias("json_column"), F.explode("s.x").alias("x")).filter("x.t is not null")
-    return cells.groupBy(F.col("series").alias("source_series_key"), "json_column", F.col("x.f").alias("field_name"), F.col("x.t").alias("type")).agg(
-        F.timestamp_micros(F.min("at")).alias("first_seen"), F.timestamp_micros(F.max("at")).alias("last_seen"), F.count("*").alias("n_files")
+    source = snapshots.filter("parse_run_id is not null and source_series_key is not null").select("parse_run_id", "source_series_key", F.unix_micros("created_at"), RECORDS, DIAGNOSTICS)
+    files = source.mapInArrow(_alternatives, _PATHS_DDL).dropDuplicates(["run"])
+    cells = files.select("series", "at", F.explode("met").alias("x"))
+    return (
+        cells.groupBy(F.col("series").alias("source_series_key"), F.col("x.c").alias("json_column"), F.col("x.p").alias("_path"), F.col("x.t").alias("type"))
+        .agg(F.timestamp_micros(F.min("at")).alias("first_seen"), F.timestamp_micros(F.max("at")).alias("last_seen"), F.count("*").alias("n_files"), F.sum("x.n").alias("n_values"))
+        .select("source_series_key", "json_column", F.array_join("_path", ".").alias("field_name"), "type", "first_seen", "last_seen", "n_files", "n_values")
     )

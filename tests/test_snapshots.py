@@ -174,3 +174,16 @@ def test_repeated_snapshots_count_once(spark):
     trees = [snapshot_tree(x, snapshot="snap", group="series", date=F.col("day"), order=[], rows=F.lit(12)) for x in (s, s.unionByName(s))]
     a, b = ({tuple(r) for r in key_history(o, t, **args()).collect()} for t in trees)
     assert a == b
+
+
+def test_alternatives_keep_odd_values_and_nested_fields(spark):
+    odd = people(v=lambda i: "x" if i else 5, seat=lambda i: {"street": f"Via {i}" if i else None, "lots": [1, "2", {"a.b": True}] if i == 3 else []})
+    table = files(spark, (odd, {"counts": {"listed": 8}}), (people(v=lambda i: None, **{"seat.street": lambda i: i}), None), ("[1", {}))
+    got = {(r["json_column"], r["field_name"], r["type"]): (r["n_files"], r["n_values"]) for r in appearing_alternatives(table.unionByName(table)).collect()}
+    assert got == {
+        ("records_json", "name", "string"): (2, 16), ("records_json", "v", "string"): (1, 7), ("records_json", "v", "number"): (1, 1),
+        ("records_json", "seat", "object"): (1, 8), ("records_json", "seat.street", "string"): (1, 7), ("records_json", "seat.street", "number"): (1, 8),
+        ("records_json", "seat.lots", "array"): (1, 8), ("records_json", "seat.lots.[]", "number"): (1, 1), ("records_json", "seat.lots.[]", "string"): (1, 1),
+        ("records_json", "seat.lots.[]", "object"): (1, 1), ("records_json", "seat.lots.[].a.b", "boolean"): (1, 1),
+        ("diagnostics_json", "counts", "object"): (1, 1), ("diagnostics_json", "counts.listed", "number"): (1, 1),
+    }
