@@ -41,12 +41,21 @@ def identifier_text(value: str | None) -> str:
     return re.sub(r"[^a-z0-9*#]", "", (value or "").lower())
 
 
+def mask_shape(masked: str) -> str:
+    """Which places of a masked identifier are visible: ``1`` for a visible one, ``0`` for a hidden one."""
+    return re.sub("[^0]", "1", _MASK.sub(lambda m: "0" * len(m[0]), masked.replace("0", "1")))
+
+
+def visible(value: str, shape: str) -> str:
+    """The characters of a value at the visible places of a mask of its length."""
+    return "".join(c for c, s in zip(value, shape, strict=True) if s == "1")
+
+
 def mask_misfits(masked: str, full: str) -> int | None:
     """How many visible characters of a masked identifier differ from a full one; None if the lengths differ or under four are visible."""
     if len(masked) != len(full):
         return None
-    hidden = {i for m in _MASK.finditer(masked) for i in range(*m.span())}
-    shown = [i for i in range(len(full)) if i not in hidden]
+    shown = [i for i, s in enumerate(mask_shape(masked)) if s == "1"]
     return sum(masked[i] != full[i] for i in shown) if len(shown) > 3 else None
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tabularium.llm.address_parts import parse_address
 from tabularium.llm.addresses import municipality_likeness, same_location, same_street
-from tabularium.llm.entries import identifier_kind, identifier_relation, identifier_text
+from tabularium.llm.entries import identifier_kind, identifier_relation, identifier_text, mask_shape, visible
 from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, phonetic, same_name, unjoined
 from tabularium.session import written
 
@@ -29,7 +29,7 @@ CONFIDENCE = 0.5
 START_M = ((0.02, 0.08, 0.3, 0.6), (0.02, 0.3, 0.08, 0.3, 0.3), (0.05, 0.05, 0.1, 0.1, 0.7))
 START_U = ((0.75, 0.1, 0.1, 0.05), (0.6, 0.38, 0.01, 0.005, 0.005), (0.5, 0.1, 0.3, 0.05, 0.05))
 
-_PROFILE = "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>, keys array<string>"
+_PROFILE = "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>, keys array<string>, shapes array<string>"
 
 
 def _telling(core: str, common: frozenset[str]) -> list[str]:
@@ -54,9 +54,32 @@ def blocking_keys(names: Sequence[str], ids: Sequence[str], addresses: Sequence[
     return keys
 
 
+def mask_keys(ids: Sequence[str], side: str, other: str, shapes: Sequence[str]) -> set[str]:
+    """The blocks of an entry by the visible part of masked identifiers, whatever its name and address.
+
+    A full identifier stands in the blocks of all ``shapes`` of its length, under its side, where only masked ones of the other side meet it; equal masked ones meet as well.
+    """
+    keys = set()
+    for value in ids:
+        kind = identifier_kind(value)
+        if kind == "masked":
+            shape = mask_shape(value)
+            keys |= {f"v|{by}|{shape}|{visible(value, shape)}" for by in (other, "") if shape.count("1") > 3}
+        elif kind:
+            keys |= {f"v|{side}|{shape}|{visible(value, shape)}" for shape in shapes if len(shape) == len(value) and shape.count("1") > 3}
+    return keys
+
+
+def _mask_blocks(batches: Iterator[pa.RecordBatch], sides: tuple[str, str], shapes: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    other = dict(zip(sides, reversed(sides), strict=True))
+    for batch in batches:
+        keys = [sorted(mask_keys(ids, side, other[side], shapes)) for side, ids in zip(*(batch.column(c).to_pylist() for c in ("side", "ids")), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("side"), pa.array(keys, pa.list_(pa.string()))], ["entry", "side", "keys"])
+
+
 def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names, ids, addresses, keys = [], [], [], []
+        names, ids, addresses, keys, shapes = [], [], [], [], []
         for spelt, values, written_as in zip(*(batch.column(c).to_pylist() for c in ("names", "ids", "addresses")), strict=True):
             cores = sorted({unjoined(n, common) for n in spelt or () if n and n.strip()})
             plain = sorted({t for v in values or () if (t := identifier_text(v))})
@@ -65,8 +88,9 @@ def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iter
             ids.append(plain)
             addresses.append(["|".join(p) for p in places])
             keys.append(sorted(blocking_keys(cores, plain, places, common)))
-        arrays = [pa.array(x, pa.list_(pa.string())) for x in (names, ids, addresses, keys)]
-        yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("side"), *arrays], ["entry", "side", "names", "ids", "addresses", "keys"])
+            shapes.append(sorted({mask_shape(v) for v in plain if identifier_kind(v) == "masked"}))
+        arrays = [pa.array(x, pa.list_(pa.string())) for x in (names, ids, addresses, keys, shapes)]
+        yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("side"), *arrays], ["entry", "side", "names", "ids", "addresses", "keys", "shapes"])
 
 
 def name_level(a: Sequence[str], b: Sequence[str], common: frozenset[str]) -> int:
@@ -147,7 +171,9 @@ def linked_records(profiles: DataFrame, sides: tuple[str, str], common: frozense
     Missing values count as unknown, never as agreement. Empty input gives no rows.
     """
     known = written(profiles.mapInArrow(lambda b: _profiles(b, common), _PROFILE), "profiles")
-    blocks = known.select("entry", "side", F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("key"))
+    shapes = sorted(r["shape"] for r in known.select(F.explode("shapes").alias("shape")).distinct().collect())
+    masks = known.filter(F.col("side").isin(*sides) & (F.size("ids") > 0)).select("entry", "side", "ids").mapInArrow(lambda b: _mask_blocks(b, sides, shapes), "entry bigint, side string, keys array<string>")
+    blocks = known.select("entry", "side", "keys").unionByName(masks).select("entry", "side", F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("key"))
     left, right = (blocks.filter(F.col("side") == s).select("key", F.col("entry").alias(n)) for s, n in zip(sides, ("a", "b"), strict=True))
     candidates = left.join(right, "key").select("a", "b").distinct()
     for n in ("a", "b"):

@@ -1,7 +1,7 @@
 import pytest
 
-from tabularium.llm.entries import identifier_relation
-from tabularium.llm.linkage import LEVELS, admissible, estimate, linked_records
+from tabularium.llm.entries import identifier_relation, mask_shape
+from tabularium.llm.linkage import LEVELS, admissible, estimate, linked_records, mask_keys
 from tabularium.llm.name_parts import parse_name, phonetic, same_name
 from tabularium.llm.names import name_variants
 
@@ -72,3 +72,22 @@ def test_linkage_across_sides(spark):
     assert {(r["a"], r["b"]) for r in got} == {(n, 100 + n) for n in range(len(people))}
     assert all(0.5 <= r["confidence"] <= 1 for r in got)
     assert linked_records(profiles.limit(0), ("x", "y"), COMMON).count() == 0
+
+
+def test_masked_identifier_alone_brings_a_pair_together(spark):
+    profiles = spark.createDataFrame(
+        [
+            (1, "x", ["mario scevzarzo"], ["scvlssxxxxxxxxxx"], ["Via Roma 5, 99066 T.nidora"]), (2, "y", ["mario scevzarzo"], ["scvlss95p02x092g"], ["Largo Verdi 7, 99066 Torrenidora"]),
+            (3, "x", ["derero noli"], ["19487257479"], ["Largo Bevvana 69, Fontegrifana"]), (4, "y", ["noli derro"], ["19##72574##"], ["Corso Glubqietti 29, Fontegrifana"]),
+            (5, "y", ["noli derro"], ["18##72574##"], ["Corso Glubqietti 30, Fontegrifana"]), (6, "x", ["lenni nulli"], ["***55555***"], None), (7, "y", ["nulli lenni"], ["xxx55555xxx"], None),
+            (8, "x", ["ranzi"], ["*******"], None), (9, "y", None, None, None),
+        ],
+        "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>",
+    )
+    known = [r.asDict() for r in profiles.collect()]
+    shapes = sorted({mask_shape(v) for r in known for v in r["ids"] or () if "*" in v or "#" in v or "xx" in v})
+    keys = {r["entry"]: mask_keys(r["ids"] or (), r["side"], "y" if r["side"] == "x" else "x", shapes) for r in known}
+    met = {(a, b) for a in keys for b in keys if a < b and keys[a] & keys[b] and known[a - 1]["side"] != known[b - 1]["side"]}
+    assert met == {(1, 2), (3, 4), (6, 7)}
+    got = {(r["a"], r["b"]) for r in linked_records(profiles, ("x", "y"), COMMON, 0.0).collect()}
+    assert {(1, 2), (3, 4)} <= got
