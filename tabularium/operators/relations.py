@@ -48,16 +48,17 @@ def period_conflicts(rows: DataFrame, key: Sequence[str], id_: str, periods: Seq
     return joined.select(*key, f"{id_}_1", f"{id_}_2")
 
 
-def longest_prefix(rows: DataFrame, text: str, aliases: DataFrame, alias: str, code: str, most: int = 6) -> DataFrame:
+def longest_prefix(rows: DataFrame, text: str, aliases: DataFrame, alias: str, code: str) -> DataFrame:
     """``rows`` with the code of the longest alias whose words begin the text: adds ``code``, ``prefix_status`` (unique, ambiguous, none) and ``rest``.
 
-    Words are runs of letters and digits in lower case. The text's first 1 to ``most`` words are joined to the aliases by
-    equality, so neither side is compared with all of the other.
+    Words are runs of letters and digits in lower case. The text's first words, up to as many as the longest alias has, are joined to the aliases
+    by equality, so neither side is compared with all of the other.
     """
     spelt = lambda c: F.array_join(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), " ")
     known = aliases.select(spelt(F.col(alias)).alias("_prefix"), F.col(code).alias("_code")).filter("_prefix <> ''").groupBy("_prefix").agg(F.min("_code").alias("_code"), F.count_distinct("_code").alias("_codes"))
+    most = known.agg(F.max(F.size(F.split("_prefix", " "))).alias("_most"))
     tagged = rows.withColumn("_words", F.split(spelt(F.col(text)), " ")).withColumn("_row", F.xxhash64(*rows.columns))
-    probes = tagged.select("_row", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("_words"))), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_words", F.lit(1), n), " ").alias("_prefix")))).alias("p"))
+    probes = tagged.crossJoin(F.broadcast(most)).select("_row", F.explode(F.transform(F.sequence(F.lit(1), F.least("_most", F.size("_words"))), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_words", F.lit(1), n), " ").alias("_prefix")))).alias("p"))
     hits = probes.select("_row", "p.n", "p._prefix").distinct().join(known, "_prefix").groupBy("_row").agg(F.max(F.struct("n", "_code", "_codes")).alias("_hit"))
     joined = tagged.join(hits, "_row", "left")
     status = F.when(F.col("_hit").isNull(), "none").when(F.col("_hit._codes") > 1, "ambiguous").otherwise("unique")

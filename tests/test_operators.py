@@ -208,3 +208,12 @@ def test_lines_bands_and_segments(spark):
     assert rows(extract.within_cells(points, cells, ["page"])) == {(1, 1.0, 1.0, "big"), (1, 50.0, 1.0, None)}
     filled, wrong = extract.stamped(spark.createDataFrame([(" ",), ("p",), ("q",)], "parser string"), "parser", "p")
     assert rows(filled) == {("p",), ("q",)} and rows(wrong) == {("q",)}
+
+
+def test_longest_prefix_of_many_words(spark):
+    words = "san giovanni di sopra al monte del lago vecchio"
+    aliases = spark.createDataFrame([("San Giovanni", "A"), (words, "B"), (None, "C")], "alias string, code string")
+    rows = spark.createDataFrame([(1, f"{words.upper()}, via Roma 5"), (2, "San Giovanni di sopra, via Roma 5"), (3, "Via Roma"), (4, None)], "id int, text string")
+    got = {r["id"]: (r["code"], r["prefix_status"], r["rest"]) for r in R.longest_prefix(rows, "text", aliases, "alias", "code").collect()}
+    assert got == {1: ("B", "unique", "via roma 5"), 2: ("A", "unique", "di sopra via roma 5"), 3: (None, "none", None), 4: (None, "none", None)}
+    assert {r["prefix_status"] for r in R.longest_prefix(rows, "text", aliases.limit(0), "alias", "code").collect()} == {"none"}
