@@ -51,6 +51,10 @@ _ROMAN = re.compile(r"(x{0,3})(ix|iv|v?i{0,3})\Z")
 _ENDINGS = ("in", "di", "al", "del", "della", "d")
 
 
+#: Stands for the kind of an address without a street type; all its words are then in ``municipality``, sorted.
+UNTYPED = "-"
+
+
 class Address(NamedTuple):
     """Parts of an address; an empty text where one is missing."""
 
@@ -131,8 +135,9 @@ def parse_address(text: str | None, street_only: bool = False) -> Address:
     cap = _CAP.search(t)
     start = _street_start(t)
     if not start:
-        muni, province = municipality_words(t)
-        return Address(muni, "", "", "", cap[0] if cap else "", province)
+        number = _KM.search(t) or _CIVIC.search(_CAP.sub("#####", t))
+        words, province = municipality_words(t[: number.start()] + " " + t[number.end() :] if number else t)
+        return Address(" ".join(sorted(words.split())), UNTYPED if words else "", "", civic_number(number[0]) if number else "", cap[0] if cap else "", province)
     kind, head, tail = STREET_TYPES[start[1]], t[: start.start()], t[start.end() :]
     if kind in ("sp", "ss", "sr"):
         m = _ROAD_NO.match(t[start.start() :].replace(".", " ", 1) if t[start.end() - 1] == "." else t[start.start() :])

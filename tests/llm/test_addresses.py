@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,16 +42,58 @@ def test_odd_addresses():
     assert parse_review(None, None, "1").kind == ""
 
 
-@pytest.mark.parametrize("stretch", [7, 40, 10_000])
-def test_windows_are_whole_wherever_stretches_are_cut(spark, stretch):
-    r = random.Random(1)
-    rows = [(i, r.choice(["hot", "hot", f"k{r.randrange(60)}"]), r.randrange(4)) for i in range(300)]
-    df = spark.createDataFrame([(i, [k], v) for i, k, v in rows], "id bigint, key array<string>, v int")
-    alike = lambda a, b: a == b
-    got = neighbour_pairs(df, id_="id", keys=["key"], payload=["v"], window=5, alike=alike, stretch_rows=stretch).collect()
-    order = sorted(rows, key=lambda x: f"{x[1]}\x00{x[0]:X}")
-    expected = {(min(a[0], b[0]), max(a[0], b[0])) for n, a in enumerate(order) for b in order[n + 1 : n + 5] if a[2] == b[2]}
-    assert {(g["a"], g["b"]) for g in got} == expected
+def brute_windows(rows, n_keys, window):
+    """Pairs by every pass on its own: rows are (id, strict, [keys of each pass], value)."""
+    found = set()
+    for number in range(n_keys):
+        order = sorted((strict, key, id_, value) for id_, strict, keys, value in rows for key in keys[number] or ())
+        found |= {(min(a[2], b[2]), max(a[2], b[2])) for n, a in enumerate(order) for b in order[n + 1 : n + window] if a[0] == b[0] and a[3] == b[3] and a[2] != b[2]}
+    return found
+
+
+@pytest.mark.parametrize("stretch, block", [(7, 2), (7, 64), (40, 3), (10_000, 64)])
+@pytest.mark.parametrize("n_keys", [1, 4])
+def test_windows_are_whole_wherever_partitions_are_cut(spark, monkeypatch, stretch, block, n_keys):
+    monkeypatch.setattr("tabularium.llm.neighbourhood.ENDS_PARTITIONS", block)
+    r = random.Random(n_keys)
+    word = lambda: r.choice(["hot", "hot", f"k{r.randrange(60)}"])
+    rows = [(i, r.choice("ab"), [[word() for _ in range(r.randrange(1, 7))] if r.random() > 0.05 else None for _ in range(n_keys)], r.randrange(4)) for i in range(300)]
+    names = [f"key{n}" for n in range(n_keys)]
+    df = spark.createDataFrame([(i, s, *k, v) for i, s, k, v in rows], "id bigint, strict string, " + "".join(f"{n} array<string>, " for n in names) + "v int")
+    alike = lambda table, i, j: np.equal(table.column("v").to_numpy()[i], table.column("v").to_numpy()[j])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    got = neighbour_pairs(df, id_="id", strict="strict", keys=names, payload=["v"], window=5, alike=alike, stretch_rows=stretch).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((g["a"], g["b"]) for g in got) == sorted(brute_windows(rows, n_keys, 5))
+    assert neighbour_pairs(df.limit(0), id_="id", strict="strict", keys=names, payload=["v"], window=5, alike=alike).count() == 0
+
+
+def test_passes_find_what_all_pairs_find(spark):
+    r = random.Random(3)
+    towns, streets = ["Torredorsale", "Montecalvesa", "Fontegrifana", "Borgoperlona"], ["Teresa Braltido", "Michele Doscella", "Anna Stalero Maria Grazia Lunga", "XXI Novembre"]
+    parts = {parse_address(f"{r.choice(['Via', 'V.le'])} {typed(r.choice(streets), r)} {r.randrange(1, 4)}, {typed(r.choice(towns), r)}") for _ in range(400)}
+    rows = [(n, *p) for n, p in enumerate(sorted(parts))]
+    df = spark.createDataFrame(rows, "record bigint, municipality string, kind string, street string, civic string, postcode string, province string")
+    found = {tuple(p) for p in pairs_of(locations(df), "record", "location", "a", "b").collect()}
+    accepted = {(a[0], b[0]) for n, a in enumerate(rows) for b in rows[n + 1 :] if same_location(a[1:], b[1:])}
+    assert len(accepted & found) >= 0.97 * len(accepted) > 100
+
+
+def typed(text, r):
+    """``text`` with words turned around or two letters swapped now and then."""
+    words = text.split()
+    if r.random() < 0.3:
+        words = words[::-1]
+    if r.random() < 0.3:
+        at = r.randrange(1, len(words[0]) - 2) if len(words[0]) > 4 else 0
+        words[0] = words[0][:at] + words[0][at + 1] + words[0][at] + words[0][at + 2 :] if at else words[0]
+    return " ".join(words)
+
+
+def test_addresses_without_a_known_street_type(spark):
+    texts = ["Torredorsale, Galleria dei Fiori 7", "GALLERIA DEI FIORI, 7 - TORREDORSALE", "Torredorsale, Galleria dei Fiori 8", "Torredorsale, Galleria dei Fiorai 7"]
+    found = locations(address_parts(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), "id", "text"))
+    assert [tuple(p) for p in pairs_of(found, "record", "location", "a", "b").collect()] == [(0, 1)]
 
 
 def test_locations_of_records(spark):
