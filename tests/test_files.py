@@ -59,6 +59,29 @@ def test_links_tables_and_frontier(spark):
     assert found == {"p": 0, "a.pdf": 1, "next": 1, "deep": 2}
 
 
+INDEX = """<table><tr><th>Provincia<th>Titolo<th>Link</tr>
+<tr><td>Alba <b>Longa</b></td><td>The White  List</td><td>see <a href="/alba">here</a> or <a href="/b">there</a></td></tr>
+<tr><td>Nested</td><td>white list<table><tr><td>in <a href='x.pdf'>x</a></table></td><td><a href="http://o.example/">out</a></td></tr>
+<tr><td>None</td><td>White list</td><td>no link</td></tr><tr><td></td><td>white list</td><td><a href="/e">e</a></td></tr></table>"""
+
+
+def test_cells_keep_their_links(spark):
+    inner, outer = html.cells(INDEX)
+    assert inner == [[html.Cell("in x", (html.Link("x.pdf", "x"),))]]
+    assert outer[1] == [html.Cell("Alba Longa", ()), html.Cell("The White List", ()), html.Cell("see here or there", (html.Link("/alba", "here"), html.Link("/b", "there")))]
+    assert [r[0].text for r in outer] == ["Provincia", "Alba Longa", "Nested", "None", ""] and outer[2][1].text == "white list"
+    rows = html.index_rows(spark.createDataFrame([("https://h.example/i", INDEX), ("https://h.example/n", None)], "url string, html string"), "url", "html")
+    got = {tuple(r) for r in html.index_entries(rows, 0, 1, 2, "white list", "provincia").collect()}
+    assert got == {("https://h.example/i", "Alba Longa", "The White List", "https://h.example/alba"), ("https://h.example/i", "Nested", "white list", "http://o.example/")}
+    assert html.cells("") == html.cells("<td>x</td>") == [] and html.tables("<table><td>a<tr><td>b") == [[["a"], ["b"]]]
+
+
+def test_link_filters():
+    page = '<a href="/p/a/lista.pdf">List</a><a href="/p/a/contatti">Contacts</a><a href="/p/b/list">List of b</a><a href="/p/a/list2#x">list<a href="mailto:x">list</a>'
+    found = html.links(page, "https://h.example/p/a/", frozenset({"h.example"}), wanted="list", unwanted="contact", scope="/p/[^/]+/")
+    assert found == [("https://h.example/p/a/lista.pdf", "List", "document"), ("https://h.example/p/a/list2", "list", "page")]
+
+
 def test_delimited_lines_objects_and_geocodes(spark, tmp_path):
     (tmp_path / "t.csv").write_text("﻿A;B;C\n1;x;\n2;y;z\n", encoding="utf-8")
     assert [tuple(r) for r in files.delimited(spark, str(tmp_path / "t.csv"), ["B", "A"]).collect()] == [("x", "1"), ("y", "2")]

@@ -140,10 +140,16 @@ def test_transitions_between_consecutive_editions(spark):
 
 
 def test_allocation_and_sample(spark):
-    assert sampling.allocated({"a": 100, "b": 10, "c": 1}, 21) == {"a": 14, "b": 6, "c": 1}
-    assert sampling.allocated({"a": 9, "b": 8}, 1) == {"a": 0, "b": 1}
-    assert sampling.allocated({"a": 9, "b": 8}, 1, largest_first=True) == {"a": 1, "b": 0}
-    assert sampling.allocated({"a": 2}, 50) == {"a": 2}
+    def plan(sizes, target, **options):
+        strata = spark.createDataFrame(list(sizes.items()), "s string, n bigint")
+        return {r["s"]: r["stratum_sample"] for r in sampling.allocated(strata, "s", "n", target, **options).collect()}
+
+    assert plan({"a": 100, "b": 10, "c": 1}, 21) == {"a": 14, "b": 6, "c": 1}
+    assert plan({"a": 9, "b": 8, "z": 0}, 1) == {"a": 0, "b": 1, "z": 0}
+    assert plan({"a": 9, "b": 8}, 1, largest_first=True) == {"a": 1, "b": 0}
+    assert plan({"a": 2}, 50) == {"a": 2}
+    assert plan({"a": 1000, "b": 6, "c": 6, "d": 6}, 300) == {"a": 282, "b": 6, "c": 6, "d": 6}
+    assert sum(plan({k: 7 + ord(k) for k in "abcdefgh"}, 101).values()) == 101 and plan({}, 5) == {}
     t = spark.createDataFrame([("a" if i % 3 else "b", i) for i in range(90)] + [(None, 99)], "s string, id int")
     first, second = (rows(sampling.stratified_sample(x, "s", ["id"], 20)) for x in (t, t.repartition(7)))
     assert first == second and len(first) == 20
