@@ -41,6 +41,23 @@ def test_round_trips(text, real, wrong):
     assert same >= len(text) - 3, restored
 
 
+OTHERS = {
+    "czech": ("Příliš žluťoučký kůň úpěl ďábelské ódy. Žluťoučký kůň", "cp1250"), "polish": ("Zażółć gęślą jaźń. Łódź, świętość źdźbła", "cp1250"), "russian": ("Привет мир, я и ты в доме с котом", "cp1251"),
+    "greek": ("Καλημέρα κόσμε, η ζωή", "cp1253"), "hungarian": ("Árvíztűrő tükörfúrógép", ""), "croatian": ("Ćevapčići i đak šalju žito", ""), "romanian": ("Și țara are mâine sfârșit ăsta", ""), "turkish": ("Şişli’de ağır iş günü çok zor", ""),
+    "spanish": ("El niño comió piñón, así será más fácil según él", ""), "norwegian": ("Det er nødvendig å gå på skolen i Ålesund, æres", ""), "japanese": ("日本語のテキスト", ""), "short": ("Žluťoučký kůň", "cp1250"), "mixed": ("La società Żółć è già iscritta", ""),
+}
+
+
+@pytest.mark.parametrize("name", OTHERS)
+def test_other_languages_stay_and_come_back(name):
+    text, narrow = OTHERS[name]
+    assert repair(text) == (text, 0, False)
+    for wrong in ("cp1252", "latin-1", "cp437", "mac_roman"):
+        assert repair(garble(text, "utf-8", wrong))[0] == text, wrong
+    if narrow:
+        assert repair(garble(text, narrow, "cp1252"))[0] == text
+
+
 def test_nested_partial_and_lost():
     twice = garble(garble(ITALIAN, "utf-8", "cp1252"), "utf-8", "cp1252")
     assert repair(twice)[:2] == (ITALIAN, 2)
