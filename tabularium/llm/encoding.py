@@ -186,22 +186,26 @@ _WORD = re.compile(r"[^\W\d_]{3,}")
 
 
 def shown(text: str, contexts: Contexts) -> tuple[str, ...]:
-    """What a text is written in besides western languages: names of alphabets it can be of, and scripts that whole words are in."""
+    """What a text is written in besides western languages: names of alphabets it can be of, and scripts that whole words are in.
+
+    A capital inside a word speaks for no alphabet, and neither does a single letter among the western ones.
+    """
     foreign: Counter = Counter()
     for w, n in contexts.items():
         if w[1].isalpha() and w[1] not in LOWER and w[1] not in UPPER:
-            foreign[w[1]] += n
+            foreign[w[1] if not (w[1].isupper() and w[0].islower()) else ""] += n
     if not foreign:
         return ()
-    scripts = {script(c) for c in foreign} - {""}
+    scripts = {script(c) for c in foreign if c} - {""}
     if scripts:
         scripts = {s for m in _WORD.finditer(text) if (s := script(m[0][0])) in scripts and all(script(c) == s for c in m[0])}
-    latin = {c: n for c, n in foreign.items() if not script(c)}
+    latin = {c: n for c, n in foreign.items() if not c or not script(c)}
+    all_letters = {w[1] for w in contexts if w[1].isalpha()}
     least, out = sum(latin.values()), sorted(scripts)
     for name, telling in _telling_letters().items() if latin else ():
         letters, _ = _alphabet(name)
-        explained, only = sum(n for c, n in latin.items() if c in letters), sum(n for c, n in latin.items() if c in telling)
-        several = len({c.lower() for c in latin if c in letters}) > 1 or all(w[1] in letters for w in contexts if w[1].isalpha()) and len({w[1].lower() for w in contexts if w[1].isalpha()}) > 1
+        explained, only = (sum(n for c, n in latin.items() if c in known) for known in (letters, telling))
+        several = len({c.lower() for c in latin if c in letters}) > 1 or (all_letters <= letters and len({c.lower() for c in all_letters}) > 1)
         if explained >= COVERED * least and only >= max(1, TELLING * least) and several:
             out.append(name)
     return tuple(out)

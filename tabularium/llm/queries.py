@@ -61,7 +61,7 @@ def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with passages of evaluation items, with the words covered."""
+    """Documents with passages of evaluation items, with the words covered and where they stand."""
     return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
@@ -70,6 +70,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def p8_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of evaluation items, without these."""
+    return leakage.cleaned_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
 def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled documents with their text restored as far as possible."""
     return encoding.garbled_texts(table(spark, sf_dir, "documents"))
@@ -80,5 +85,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_restored(spark, sf_dir).select("doc_id").distinct()
 
 
-QUERIES = {"p7_packed": p7_packed, "p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p7_packed": p7_packed, "p9_found": p9_found, "p9_restored": p9_restored, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_cleaned": p8_cleaned, "p1_found": p1_found, "p1_links": p1_links, "p4_found": p4_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}

@@ -1,6 +1,6 @@
 import random
 
-from tabularium.llm.leakage import Automaton, leaked_items, leaks, packs, words
+from tabularium.llm.leakage import Automaton, cleaned_documents, leaked_items, leaks, packs, without, word_spans, words
 
 R = random.Random(4)
 VOCABULARY = [f"parola{i}" for i in range(400)]
@@ -53,6 +53,36 @@ def test_short_quotes_phrases_and_scattered_words_are_none():
         assert leaks(AUTOMATON, text) == {}
 
 
+def test_words_of_any_script():
+    for text in ("Straße à Žluťoučký, l’Œuvre ½ ﬁne", "Привет, МИР! ё", "Καλημέρα ς Σ", "日本語 text 2", "שָׁלוֹם עולם", "a_b-c", "", "x" * 1000):
+        spans = word_spans(text)
+        assert [w.decode() for w in words(text)] == [w.decode() for a, b in spans for w in words(text[a:b])] or "½" in text
+        assert len(words(text)) == len(spans)
+    assert words("Straße ÄÖ Привет") == [b"strasse", b"ao", "привет".encode()] and len(words("日本語")) == 3
+
+
+def test_other_scripts_leak():
+    text = " ".join(f"слово{chr(1072 + k)} дом{chr(1072 + k * 7 % 30)}" for k in range(20))
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(40))
+    automaton = Automaton([(1, words(text)), (2, words(han)), (3, words("due parole di un testo breve che ha undici parole in tutto"))])
+    assert set(leaks(automaton, f"{noise(30)} {text.upper()} {noise(9)}")) == {1}
+    assert set(leaks(automaton, f"{noise(30)} {han[5:35]} {noise(9)}")) == {2}
+    assert set(leaks(automaton, "Inizio: due parole di un testo breve, che ha undici parole in tutto. Fine")) == {3}
+    assert leaks(automaton, "due parole di un testo breve che ha undici") == {}
+
+
+def test_passages_are_taken_out(spark):
+    twice = f"Prima. {ITEMS[3][1]}! Mezzo; {text_of(3, 10, 30)} – fine à é."
+    chain = leaks(AUTOMATON, twice)[3]
+    assert len(chain) == 2
+    assert without(twice, [(c.start, c.end) for c in chain]) == "Prima. Mezzo; fine à é."
+    assert without("a b c d", [(0, 2), (1, 3)]) == "d" and without("a b", [(0, 2)]) == "" and without("a b.", []) == "a b."
+    documents = spark.createDataFrame([(1, twice, "x"), (2, noise(40), "x"), (3, None, "x"), (4, ITEMS[1][1], "x")], "doc_id bigint, text string, cleaned string")
+    got = {r["doc_id"]: (r["cleaned"], r["n_removed"]) for r in cleaned_documents(documents, spark.createDataFrame(ITEMS, "item_id bigint, text string")).collect()}
+    assert got[1][0] == "Prima. Mezzo; fine à é." and got[4] == ("", len(words(ITEMS[1][1]))) and set(got) == {1, 4}
+    assert cleaned_documents(documents, spark.createDataFrame([], "item_id bigint, text string")).count() == 0
+
+
 def test_tables(spark):
     docs = [(1, ITEMS[0][1], 5), (2, noise(40), 5), (3, None, 5), (4, "", 5), (5, f"{ITEMS[1][1]} {noise(5000)} {ITEMS[2][1]}", 5), (1, ITEMS[0][1], 5), (6, ITEMS[0][1], 5), (None, ITEMS[0][1], 5)]
     documents = spark.createDataFrame(docs, "doc_id bigint, text string, item_id int")
