@@ -50,6 +50,10 @@ _ABBREVIATED = re.compile(r"(?<![a-z.])([a-z]{1,8})\.(?=[\s,)]|$)")
 _SOUNDS = (("ch", "k"), ("gh", "g"), ("ph", "f"), ("qu", "k"), ("sch", "sk"), ("c", "k"), ("q", "k"), ("z", "s"), ("y", "i"), ("w", "v"), ("x", "s"), ("j", "i"))
 
 
+#: Least Jaro–Winkler similarity of two words that agree, and of two words that few edits lie between.
+ALIKE, EDITED = 0.94, 0.75
+
+
 class Name(NamedTuple):
     """A name's core words (a word cut short ends in ``.``, one contracted has ``.`` inside), its legal form and whether it is marked as a sole trader's."""
 
@@ -176,12 +180,10 @@ def word_score(a: str, b: str) -> float:
         return 0.8
     if short < 4:
         return 0.0
-    if within(x, y, 1 if short < 8 else 2):
-        return max(0.8, jaro_winkler(x, y))
-    if (x in NICKNAMES) != (y in NICKNAMES) and x[0] == y[0] and within(x, y, 2):
-        return 0.76
     j = jaro_winkler(x, y)
-    return j if j >= 0.94 else 0.0
+    if j >= (EDITED if within(x, y, 1 if short < 8 else 2) else ALIKE):
+        return j
+    return 0.76 if (x in NICKNAMES) != (y in NICKNAMES) and x[0] == y[0] and within(x, y, 2) else 0.0
 
 
 def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[tuple[float, str, str]], list[str], list[str]]:

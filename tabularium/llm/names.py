@@ -71,26 +71,52 @@ def _alike(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterato
         yield out.filter(pa.array([k > 0 for k in keep]))
 
 
-def _unopposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], spelt: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = [[identifier_text(v) for v in x or ()] for x in batch.column("ids_a").to_pylist()], [[identifier_text(v) for v in x or ()] for x in batch.column("ids_b").to_pylist()]
-        keep = [identifier_relation(x, y) > 0 for x, y in zip(*ids, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        columns = {n: batch.column(n).to_pylist() for n in batch.schema.names if n not in ("a", "b")}
+        keep = [identifier_relation(x, y) > 0 for x, y in zip(columns["ids_a"], columns["ids_b"], strict=True)]
+        if spelt:
+            keep = [k and x != y for k, x, y in zip(keep, columns["spelt_a"], columns["spelt_b"], strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def unopposed(pairs: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` of entries whose identifiers don't contradict each other. identifiers: ``entry``, ``ids``."""
-    sides = [identifiers.select(F.col("entry").alias(s), F.col("ids").alias(f"ids_{s}")) for s in ("a", "b")]
-    joined = pairs.select("a", "b").join(sides[0], "a", "left").join(sides[1], "b", "left").select("a", "b", "ids_a", "ids_b")
+def unopposed(pairs: DataFrame, spelt: bool = False) -> DataFrame:
+    """The pairs ``a``, ``b`` whose identifiers ``ids_a`` and ``ids_b`` don't contradict each other; with ``spelt`` only those with different ``spelt_a`` and ``spelt_b``."""
     kind = pairs.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(_unopposed, f"a {kind}, b {kind}")
+    columns = ["a", "b", "ids_a", "ids_b", *(("spelt_a", "spelt_b") if spelt else ())]
+    return pairs.select(*columns).mapInArrow(lambda b: _kept(b, spelt), f"a {kind}, b {kind}")
+
+
+def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [sorted({t for v in x or () if (t := identifier_text(v))}) for x in batch.column("ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("entry"), pa.array(ids, pa.list_(pa.string()))], ["entry", "ids"])
+
+
+def class_links(accepted: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` between classes of entries that tie all of a name, and of two accepted names, whose identifiers don't contradict each other.
+
+    accepted: ``a``, ``b``, nodes of alike names. classes: ``cls``, ``node``, ``ids``. A class without identifiers contradicts none, so where a name has one the others are tied to it
+    alone: as many edges as classes, however many there are. Otherwise classes are compared in pairs.
+    """
+    hubs = classes.groupBy("node").agg(F.min(F.when(F.size("ids") == 0, F.col("cls"))).alias("hub"))
+    side = lambda n: classes.select(F.col("node").alias(f"node_{n}"), F.col("cls").alias(n), F.col("ids").alias(f"ids_{n}"))
+    alike = accepted.select(F.col("a").alias("node_a"), F.col("b").alias("node_b"))
+    alike = alike.unionByName(hubs.filter("hub is null").select(F.col("node").alias("node_a"), F.col("node").alias("node_b")))
+    for n in ("a", "b"):
+        alike = alike.join(hubs.withColumnsRenamed({"node": f"node_{n}", "hub": f"hub_{n}"}), f"node_{n}")
+    tied = alike.filter("hub_a is not null or hub_b is not null").select(F.coalesce("hub_a", "hub_b").alias("a"), F.when(F.col("hub_a").isNotNull(), F.col("node_b")).otherwise(F.col("node_a")).alias("node"))
+    tied = tied.unionByName(hubs.filter("hub is not null").select(F.col("hub").alias("a"), "node")).join(classes.select("node", F.col("cls").alias("b")), "node").select("a", "b")
+    compared = alike.filter("hub_a is null and hub_b is null").select("node_a", "node_b").join(side("a"), "node_a").join(side("b"), "node_b").filter("node_a <> node_b or a < b")
+    return tied.unionByName(unopposed(compared)).filter("a <> b")
 
 
 def name_variants(names: DataFrame, identifiers: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of entries of one series that are one subject under different spellings.
 
     names: ``entry``, ``series``, ``name``, one row per spelling, none NULL. identifiers: ``entry``, ``ids`` (array of texts).
-    Entries with exactly the same spellings are no pair. Repeated rows count once; empty input gives no rows.
+    Entries with exactly the same spellings are no pair. Repeated rows count once; empty input gives no rows. Entries of one name and the same
+    identifiers are one class until the end; only the result is spelt out in pairs of entries.
     """
     parsed = written(parsed_names(names.distinct()), "names")
     common = common_words(parsed)
@@ -99,16 +125,16 @@ def name_variants(names: DataFrame, identifiers: DataFrame) -> DataFrame:
     blocks = written(blocks, "name-blocks")
     left, right = (blocks.select("key", F.col("node").alias(n), F.col("core").alias(f"core_{n}")) for n in ("a", "b"))
     candidates = left.join(right, "key").filter("a < b").drop("key").dropDuplicates(["a", "b"])
-    accepted = candidates.select("a", "b", "core_a", "core_b").mapInArrow(lambda b: _alike(b, common), "a bigint, b bigint, likeness double")
-    members = written(parsed.select("entry", F.xxhash64("series", "core").alias("node")).distinct(), "name-members")
-    one, two = (members.select(F.col("node").alias(f"node_{n}"), F.col("entry").alias(n)) for n in ("a", "b"))
-    across = accepted.select(F.col("a").alias("node_a"), F.col("b").alias("node_b")).join(one, "node_a").join(two, "node_b").select("a", "b")
-    inside = one.join(two, F.col("node_a") == F.col("node_b")).filter("a < b").select("a", "b")
-    linked = across.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(inside).distinct()
-    links = written(unopposed(linked, identifiers), "name-links")
-    groups = written(components(links, "a", "b"), "name-groups")
-    left, right = (groups.select("root", F.col("node").alias(n)) for n in ("a", "b"))
-    together = left.join(right, "root").filter("a < b").select("a", "b")
-    spellings = parsed.groupBy("entry").agg(F.array_sort(F.collect_set(F.xxhash64("name"))).alias("spelt"))
-    together = unopposed(together, identifiers).join(spellings.withColumnsRenamed({"entry": "a", "spelt": "spelt_a"}), "a").join(spellings.withColumnsRenamed({"entry": "b", "spelt": "spelt_b"}), "b")
-    return together.filter("spelt_a <> spelt_b").select("a", "b")
+    accepted = written(candidates.select("a", "b", "core_a", "core_b").mapInArrow(lambda b: _alike(b, common), "a bigint, b bigint, likeness double"), "alike-names")
+    kind = parsed.schema["entry"].dataType.simpleString()
+    known = identifiers.select("entry", "ids").mapInArrow(_plain, f"entry {kind}, ids array<string>")
+    spelt = parsed.groupBy("entry").agg(F.collect_set(F.xxhash64("series", "core")).alias("nodes"), F.array_sort(F.collect_set(F.xxhash64("name"))).alias("spelt"))
+    entries = written(spelt.join(known, "entry", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>"))), "name-entries")
+    members = entries.select("entry", "ids", F.explode("nodes").alias("node"))
+    classes = written(members.groupBy("node", "ids").agg(F.min("entry").alias("cls")), "name-classes")
+    several = entries.filter(F.size("nodes") > 1).select("entry", "ids", F.explode("nodes").alias("node")).join(classes, ["node", "ids"]).select(F.col("entry").alias("a"), F.col("cls").alias("b"))
+    groups = components(class_links(accepted, classes).unionByName(several), "a", "b").withColumnRenamed("node", "cls")
+    placed = members.join(classes, ["node", "ids"]).join(groups, "cls", "left").groupBy("entry").agg(F.min(F.coalesce("root", "cls")).alias("root"))
+    placed = written(entries.drop("nodes").join(placed, "entry"), "name-groups")
+    left, right = (placed.select("root", F.col("entry").alias(n), F.col("ids").alias(f"ids_{n}"), F.col("spelt").alias(f"spelt_{n}")) for n in ("a", "b"))
+    return unopposed(left.join(right, "root").filter("a < b"), spelt=True)
