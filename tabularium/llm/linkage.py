@@ -3,7 +3,10 @@
 Candidates come from several blocking passes; each pair is compared on name, identifier and
 address, giving a small pattern of agreement levels; expectation-maximisation over the counts of
 the patterns estimates how often each level occurs among matches and among non-matches; the
-posterior probability of a match is the confidence of a pair.
+posterior probability of a match is the confidence of a pair and alone decides.
+
+Pairs that only an identifier brought together always agree on it, match or not, and likewise with addresses. So
+a pattern holds the route by which its pairs were found, and the levels of identifier and address are estimated for each route.
 """
 
 from __future__ import annotations
@@ -18,16 +21,20 @@ from pyspark.sql import functions as F
 from tabularium.llm.address_parts import parse_address
 from tabularium.llm.addresses import municipality_likeness, same_location, same_street
 from tabularium.llm.entries import identifier_kind, identifier_relation, identifier_text, mask_shape, visible
-from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, phonetic, same_name, unjoined
+from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, align, code_keys, phonetic, same_name, unjoined
 from tabularium.session import written
 
-#: Levels of the fields name, identifier and address; patterns are their product.
-LEVELS = (4, 5, 5)
+#: Levels of the fields name, identifier and address, and routes (address, identifier, both); patterns are their product.
+LEVELS, ROUTES = (5, 5, 5), 3
 #: Least posterior probability of a reported match.
 CONFIDENCE = 0.5
-#: Starting values of the match and non-match probabilities by level; only the order of the levels matters.
-START_M = ((0.02, 0.08, 0.3, 0.6), (0.02, 0.3, 0.08, 0.3, 0.3), (0.05, 0.05, 0.1, 0.1, 0.7))
-START_U = ((0.75, 0.1, 0.1, 0.05), (0.6, 0.38, 0.01, 0.005, 0.005), (0.5, 0.1, 0.3, 0.05, 0.05))
+#: Starting values of the match and non-match probabilities by level, and of the share of matches by route.
+START_M = ((0.002, 0.01, 0.05, 0.3, 0.638), (0.01, 0.49, 0.2, 0.2, 0.1), (0.05, 0.05, 0.1, 0.1, 0.7))
+START_U = ((0.35, 0.45, 0.1, 0.05, 0.05), (0.6, 0.38, 0.01, 0.005, 0.005), (0.5, 0.1, 0.3, 0.05, 0.05))
+START_SHARE = (0.1, 0.1, 0.9)
+#: Most matches found by address alone whose names differ in words on both sides. Relatives and sister firms share a word of the name and the address, which the fields'
+#: independence cannot tell from matches, so estimation is kept from taking them for one.
+MOST_OPPOSED = 0.001
 
 _PROFILE = "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>, keys array<string>, shapes array<string>"
 
@@ -94,16 +101,19 @@ def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iter
 
 
 def name_level(a: Sequence[str], b: Sequence[str], common: frozenset[str]) -> int:
-    """3 the same words, 2 all words agree, 1 one name has more than the other, 0 different names."""
-    best = 0
+    """4 the same words, 3 all words agree, 2 one name has more than the other, 1 names without a common word, 0 names that share a word and differ in others on both sides."""
+    best, opposed = 1, False
     for x in a:
         for y in b:
             p, q = x.split(" "), y.split(" ")
             if sorted(p) == sorted(q):
-                return 3
+                return 4
             if (s := same_name(Name(tuple(p), "", False), Name(tuple(q), "", False), common)) > 0:
-                best = max(best, 2 if s >= 0.75 else 1)
-    return best
+                best = max(best, 3 if s >= 0.75 else 2)
+            elif best == 1 and not opposed:
+                met, rest_a, rest_b = align(tuple(p), tuple(q))
+                opposed = bool(rest_a and rest_b) and any(s >= 0.75 and m not in common for s, m, _ in met)
+    return 0 if best == 1 and opposed else best
 
 
 def address_level(a: Sequence[Sequence[str]], b: Sequence[Sequence[str]]) -> int:
@@ -121,66 +131,81 @@ def address_level(a: Sequence[Sequence[str]], b: Sequence[Sequence[str]]) -> int
     return best if known else 1
 
 
+def pattern_of(name: int, identifier: int, address: int, route: int) -> int:
+    """The number of a pattern."""
+    return ((name * LEVELS[1] + identifier) * LEVELS[2] + address) * ROUTES + route
+
+
 def _patterns(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         sides = [[batch.column(f"{c}_{s}").to_pylist() for c in ("names", "ids", "addresses")] for s in ("a", "b")]
-        for na, ia, aa, nb, ib, ab in zip(*sides[0], *sides[1], strict=True):
+        for na, ia, aa, nb, ib, ab, route in zip(*sides[0], *sides[1], batch.column("routes").to_pylist(), strict=True):
             n, i, p = name_level(na, nb, common), identifier_relation(ia, ib), address_level([x.split("|") for x in aa], [x.split("|") for x in ab])
-            out.append((n * LEVELS[1] + i) * LEVELS[2] + p)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.int32())], ["a", "b", "pattern"])
+            out.append(pattern_of(n, i, p, route - 1))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("n"), pa.array(out, pa.int32())], ["a", "b", "n", "pattern"])
 
 
 def estimate(counts: dict[int, int], rounds: int = 200) -> dict[int, float]:
     """The posterior probability of a match for each pattern, by expectation-maximisation over the patterns' counts.
 
-    Fields are taken as independent given match or non-match. One pseudo-observation per level keeps the
-    probabilities from zero; the levels' order is kept by starting values alone. No patterns give no posteriors.
+    Given match or non-match and the route, fields are taken as independent; the levels of names are the same on every route but for
+    ``MOST_OPPOSED``. The starting values, which alone say which levels speak for a match, count as one observation of each table in every round, so no probability becomes zero. No patterns
+    give no posteriors.
     """
     if not counts:
         return {}
     patterns = np.array(sorted(counts))
     weight = np.array([counts[p] for p in patterns], float)
-    levels = np.stack([patterns // (LEVELS[1] * LEVELS[2]), patterns // LEVELS[2] % LEVELS[1], patterns % LEVELS[2]])
-    m, u, share = [np.array(x) for x in START_M], [np.array(x) for x in START_U], 0.1
+    route, rest = patterns % ROUTES, patterns // ROUTES
+    name, identifier, address = rest // (LEVELS[1] * LEVELS[2]), rest // LEVELS[2] % LEVELS[1], rest % LEVELS[2]
+    cells = (route * LEVELS[0] + name, route * LEVELS[1] + identifier, route * LEVELS[2] + address)
+    start = [[np.tile(np.array(t), (ROUTES, 1)) for t in tables] for tables in (START_M, START_U)]
+    m, u = ([t.copy() for t in tables] for tables in start)
+    share = np.array(START_SHARE)
+
+    def posterior() -> np.ndarray:
+        like_m, like_u = (np.prod([t.ravel()[c] for t, c in zip(tables, cells, strict=True)], axis=0) for tables in (m, u))
+        return share[route] * like_m / (share[route] * like_m + (1 - share[route]) * like_u)
+
     for _ in range(rounds):
-        like_m, like_u = (np.prod([p[f][levels[f]] for f in range(3)], axis=0) for p in (m, u))
-        posterior = share * like_m / (share * like_m + (1 - share) * like_u)
-        share = float((posterior * weight).sum() / weight.sum())
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        for f in range(3):
-            for table, w, start in ((m, posterior * weight, START_M), (u, (1 - posterior) * weight, START_U)):
-                got = np.bincount(levels[f], w, LEVELS[f]) + np.array(start[f])
-                table[f] = got / got.sum()
-    like_m, like_u = (np.prod([p[f][levels[f]] for f in range(3)], axis=0) for p in (m, u))
-    return dict(zip(patterns.tolist(), (share * like_m / (share * like_m + (1 - share) * like_u)).tolist(), strict=True))
-
-
-def admissible(pattern: int) -> bool:
-    """Whether a pattern has evidence from two fields, none of them contradicted by the identifiers."""
-    name, identifier, address = pattern // (LEVELS[1] * LEVELS[2]), pattern // LEVELS[2] % LEVELS[1], pattern % LEVELS[2]
-    if name > 1 and address > 1 or name == 1 and address > 3:
-        return identifier > 0
-    return identifier > 1 and (name > 0 or address > 3)
+        match = posterior()
+        for tables, first, w in ((m, start[0], match * weight), (u, start[1], (1 - match) * weight)):
+            for f, cell in enumerate(cells):
+                got = np.bincount(cell, w, first[f].size).reshape(first[f].shape)
+                got = first[f] + (got if f else got.sum(axis=0))
+                tables[f] = got / got.sum(axis=1, keepdims=True)
+        if m[0][0, 0] > MOST_OPPOSED:
+            m[0][0, 1:] *= (1 - MOST_OPPOSED) / m[0][0, 1:].sum()
+            m[0][0, 0] = MOST_OPPOSED
+        share = (np.bincount(route, match * weight, ROUTES) + np.array(START_SHARE)) / (np.bincount(route, weight, ROUTES) + 1)
+    return dict(zip(patterns.tolist(), posterior().tolist(), strict=True))
 
 
 def linked_records(profiles: DataFrame, sides: tuple[str, str], common: frozenset[str], confidence: float = CONFIDENCE) -> DataFrame:
     """Pairs of an entry of one side and an entry of the other that are one subject: ``a``, ``b``, ``pattern``, ``confidence``.
 
     profiles: ``entry``, ``side``, ``names`` (core words as ``parsed_names`` gives them), ``ids``, ``addresses`` (arrays of texts, NULL for none), one row per entry.
-    Missing values count as unknown, never as agreement. Empty input gives no rows.
+    Missing values count as unknown, never as agreement. Entries with the same names, identifiers and addresses are compared once. Empty input gives no rows.
     """
-    known = written(profiles.mapInArrow(lambda b: _profiles(b, common), _PROFILE), "profiles")
-    shapes = sorted(r["shape"] for r in known.select(F.explode("shapes").alias("shape")).distinct().collect())
-    masks = known.filter(F.col("side").isin(*sides) & (F.size("ids") > 0)).select("entry", "side", "ids").mapInArrow(lambda b: _mask_blocks(b, sides, shapes), "entry bigint, side string, keys array<string>")
-    blocks = known.select("entry", "side", "keys").unionByName(masks).select("entry", "side", F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("key"))
-    left, right = (blocks.filter(F.col("side") == s).select("key", F.col("entry").alias(n)) for s, n in zip(sides, ("a", "b"), strict=True))
-    candidates = left.join(right, "key").select("a", "b").distinct()
+    known = written(profiles.filter(F.col("side").isin(*sides)).mapInArrow(lambda b: _profiles(b, common), _PROFILE), "profiles")
+    alike = ("side", "names", "ids", "addresses")
+    kinds = written(known.groupBy(*alike).agg(F.min("entry").alias("kind"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("shapes").alias("shapes")), "kinds")
+    shapes = sorted(r["shape"] for r in kinds.select(F.explode("shapes").alias("shape")).distinct().collect())
+    masks = kinds.filter(F.size("ids") > 0).select(F.col("kind").alias("entry"), "side", "ids").mapInArrow(lambda b: _mask_blocks(b, sides, shapes), "entry bigint, side string, keys array<string>")
+    blocks = kinds.select(F.col("kind").alias("entry"), "side", "keys").unionByName(masks).select("entry", "side", F.explode("keys").alias("key"))
+    by_address = F.substring("key", 1, 1).isin("c", "m")
+    blocks = blocks.select("entry", "side", F.xxhash64("key").alias("key"), F.when(by_address, 1).otherwise(2).alias("route"))
+    left, right = (blocks.filter(F.col("side") == s).select("key", "route", F.col("entry").alias(n)) for s, n in zip(sides, ("a", "b"), strict=True))
+    candidates = left.join(right, ["key", "route"]).groupBy("a", "b").agg(F.bit_or("route").alias("routes"))
+    for n in ("a", "b"):
+        candidates = candidates.join(kinds.select(F.col("kind").alias(n), F.col("n").alias(f"n_{n}"), *[F.col(c).alias(f"{c}_{n}") for c in alike[1:]]), n)
+    compared = written(candidates.withColumn("n", F.col("n_a") * F.col("n_b")).mapInArrow(lambda b: _patterns(b, common), "a bigint, b bigint, n bigint, pattern int"), "patterns")
+    counts = {r["pattern"]: r["n"] for r in compared.groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
+    matches = [(p, float(c)) for p, c in estimate(counts).items() if c >= confidence]
+    table = profiles.sparkSession.createDataFrame(matches, "pattern int, confidence double")
+    members = known.join(kinds.select(*alike, "kind"), list(alike)).select("entry", "kind")
+    links = compared.join(F.broadcast(table), "pattern")
     for n in ("a", "b"):
-        candidates = candidates.join(known.select(F.col("entry").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("names", "ids", "addresses")]), n)
-    compared = written(candidates.mapInArrow(lambda b: _patterns(b, common), "a bigint, b bigint, pattern int"), "patterns")
-    counts = {r["pattern"]: r["count"] for r in compared.groupBy("pattern").count().collect()}
-    posterior = {p: c for p, c in estimate(counts).items() if c >= confidence and admissible(p)}
-    spark = profiles.sparkSession
-    table = spark.createDataFrame([(p, float(c)) for p, c in posterior.items()], "pattern int, confidence double")
-    return compared.join(F.broadcast(table), "pattern").select("a", "b", "pattern", "confidence")
+        links = links.withColumnRenamed(n, "kind").join(members.withColumnRenamed("entry", n), "kind").drop("kind")
+    return links.select("a", "b", "pattern", "confidence")

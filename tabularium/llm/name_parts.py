@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
 from tabularium.functions.fold import strip_accents
-from tabularium.llm.distances import jaro_winkler, within
+from tabularium.llm.distances import distance, jaro_winkler, within
 
 #: Legal forms and other additions that do not tell one subject from another, in the order in which they are taken out.
 LEGAL_FORMS = (
@@ -23,7 +24,7 @@ ADDITIONS = r"in liquidazione|in concordato(?: preventivo)?|concordato preventiv
 INDIVIDUAL = r"ditta individuale|impresa individuale|impresa edile|imp ind(?:ividuale)?|imp edile|ditta ind|d i|ditta|impresa|imp"
 #: Words without weight, and usual short forms of whole words.
 STOP = {"di", "e", "ed", "a", "c", "figli", "dei", "del", "della"}
-LOOSE = {"gruppo", "group", "eredi", "italiana", "italia", "fratelli", "holding", "a", "2", "0"}
+LOOSE = {"nuova", "nuovo", "gruppo", "group", "eredi", "italiana", "italia", "fratelli", "holding", "a", "2", "0"}
 LEGAL_WORDS = ("societa", "responsabilita", "limitata", "semplificata", "cooperativa", "accomandita", "semplice", "individuale", "impresa", "unipersonale", "consorzio", "fratelli", "azioni", "detto")
 SHORT = {"flli": "fratelli", "czio": "consorzio", "cons": "consorzio", "cls": "calcestruzzi", "soc": "societa"}
 #: Given names and their usual short forms.
@@ -43,10 +44,11 @@ for _name, _short in NICKNAMES.items():
         _NICK.setdefault(_s, set()).add(_name)
 _FORMS = [(re.compile(rf"(?<![a-z0-9])(?:{p})(?![a-z0-9])"), f) for p, f in LEGAL_FORMS]
 _ADD = re.compile(rf"(?<![a-z0-9])(?:{ADDITIONS})(?![a-z0-9])")
-_IND = re.compile(rf"^(?:{INDIVIDUAL})(?![a-z0-9])")
+_IND = re.compile(rf"^(?:nuova )?(?:{INDIVIDUAL})(?![a-z0-9])")
 _LEGAL_SHORT = re.compile(r"(?<![a-z0-9])(soc|imp|ind|az|coop|resp|lim|acc|semplif)\.")
 _CONTRACTED = re.compile(r"(?<![a-z.])([a-z]{1,7})\.([a-z]{1,4})\b(?!\.)")
 _ABBREVIATED = re.compile(r"(?<![a-z.])([a-z]{1,8})\.(?=[\s,)]|$)")
+_GLUED_FORM = re.compile(r"(?<=[a-z]{3})(s\. ?(?:r\. ?l\.|p\. ?a\.|n\. ?c\.|a\. ?s\.)(?: ?s\.)?|s r l(?: s)?\b|s n c\b|s a s\b|s p a\b|srls?\b|snc\b)")
 _SOUNDS = (("ch", "k"), ("gh", "g"), ("ph", "f"), ("qu", "k"), ("sch", "sk"), ("c", "k"), ("q", "k"), ("z", "s"), ("y", "i"), ("w", "v"), ("x", "s"), ("j", "i"))
 
 
@@ -73,11 +75,14 @@ def _mended(word: str) -> str:
 def parse_name(text: str) -> Name:
     """The parts of a name; a name without any core word keeps all its words."""
     t = strip_accents(text).replace("’", "'")
+    t = _GLUED_FORM.sub(r" \1", t)
     t = re.sub(r"[&+]\s*c\b\.?", " ", t)
     t = re.sub(r"(?<![a-z0-9])(f|c)[. ]+(lli|zio)(?![a-z0-9])", r"\1\2", t)
     t = re.sub(r"(?<![a-z0-9.])(?:[a-z]\.){2,}(?:[a-z](?![a-z0-9]))?", lambda m: " " + m[0].replace(".", "") + " ", t)
     t = _LEGAL_SHORT.sub(r"\1 ", t)
     t = re.sub(r"(?<![a-z0-9])(?:f\.lli|flli)(?=[a-z])", "fratelli ", t)
+    t = re.sub(r"(?<=[a-z]{4})f\. ?lli(?![a-z])", " fratelli ", t)
+    t = re.sub(r"(?<![a-z0-9])(?:c\. ?zio|czio)(?=[a-z]{3})", "consorzio ", t)
     t = re.sub(r"(?<![a-z0-9])([a-z]{2,})\.(?=[a-z]{5}|[a-z]{3,}\.)", r"\1. ", t)
     t = _CONTRACTED.sub(lambda m: f"{m[1]}_{m[2]}", t)
     t = _ABBREVIATED.sub(lambda m: m[1] + "__ ", t)
@@ -151,13 +156,17 @@ def word_score(a: str, b: str) -> float:
         short, full = (a, b) if "." in a and ("." not in b or len(a) <= len(b)) else (b, a)
         head, _, tail = short.partition(".")
         full_plain = full.replace(".", "")
+        if "." in full and len(head) > 2:
+            other, _, end = full.partition(".")
+            if len(other) > 2 and (head.startswith(other) or other.startswith(head)) and (not tail or not end or tail == end):
+                return 0.8
         if len(head) == 1 and not tail:
             return _initial(head, full_plain)
         if full_plain.startswith(head) and (not tail or full_plain.endswith(tail)):
             return 0.9
         if len(head) > 2 and within(full_plain[: len(head)], head, 1) and (not tail or full_plain.endswith(tail)):
             return 0.8
-        return 0.0
+        return 0.8 if len(head) > 3 and full_plain.startswith(head) and tail[-1:] == full_plain[-1:] else 0.0
     if x.isdigit() or y.isdigit():
         return 0.0
     if len(x) == 1 or len(y) == 1:
@@ -186,6 +195,22 @@ def word_score(a: str, b: str) -> float:
     return 0.76 if (x in NICKNAMES) != (y in NICKNAMES) and x[0] == y[0] and within(x, y, 2) else 0.0
 
 
+@lru_cache(maxsize=200_000)
+def run_together(word: str, first: str, second: str) -> bool:
+    """Whether a word is two others written together, the second perhaps cut short, with up to two typos, and not the first one alone."""
+    w, head, whole = (t.replace(".", "") for t in (word, first, first + second))
+    if len(w) < 6 or head[:1] != w[:1]:
+        return False
+    if len(second.replace(".", "")) < 4 and len(w) > len(whole):
+        w = w[: len(whole)]
+    least = min((distance(w, whole[:n]) for n in range(max(len(head) + 1, len(w) - 2), min(len(whole), len(w) + 2) + 1)), default=9)
+    return least <= (2 if len(w) > 8 else 1) and least < distance(w, head)
+
+
+def _written_together(word: str, parts: Sequence[str]) -> bool:
+    return len(parts) == 2 and (run_together(word, *parts) or run_together(word, *parts[::-1]))
+
+
 def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[tuple[float, str, str]], list[str], list[str]]:
     """Greedy one-to-one matching of words: matches with scores, words of a left over, words of b left over."""
     scored = sorted(((s, -i, -j) for i, x in enumerate(a) for j, y in enumerate(b) if (s := word_score(x, y))), reverse=True)
@@ -212,6 +237,12 @@ def same_name(a: Name, b: Name, weak: frozenset[str] = frozenset()) -> float:
         if len(a.words) != len(b.words) and len(x) > 9 and (within(x, y, 2) or within(x, turned, 2)):
             return 0.9
     strong = [s for s, x, y in met if s >= 0.75 and min(len(x), len(y)) > 3 and "." not in x + y]
+    if strong and (_written_together(rest_a[0], rest_b) if len(rest_a) == 1 else len(rest_b) == 1 and _written_together(rest_b[0], rest_a)):
+        return 0.8
+    if len(met) > 1 and len(rest_a) + len(rest_b) == 1:
+        pairs = [(y, (x, *rest_a)) if rest_a else (x, (y, *rest_b)) for _, x, y in met]
+        if any(_written_together(word, parts) and any(s >= 0.75 for m, (s, _, _) in enumerate(met) if m != n) for n, (word, parts) in enumerate(pairs)):
+            return 0.8
     if not strong or (rest_a and rest_b):
         return 0.0
     left = rest_a or rest_b

@@ -1,7 +1,7 @@
 import pytest
 
 from tabularium.llm.entries import identifier_relation, mask_shape
-from tabularium.llm.linkage import LEVELS, admissible, estimate, linked_records, mask_keys
+from tabularium.llm.linkage import estimate, linked_records, mask_keys, name_level, pattern_of
 from tabularium.llm.name_parts import parse_name, phonetic, same_name
 from tabularium.llm.names import name_variants
 
@@ -52,11 +52,35 @@ def test_identifier_levels(a, b, level):
 
 
 def test_estimation_separates_matches():
-    code = lambda n, i, p: (n * LEVELS[1] + i) * LEVELS[2] + p
-    posterior = estimate({code(3, 4, 4): 300, code(2, 3, 4): 100, code(3, 1, 4): 80, code(0, 1, 0): 4000, code(0, 0, 0): 3000, code(3, 0, 0): 60, code(0, 0, 4): 40})
-    assert posterior[code(3, 4, 4)] > 0.99 and posterior[code(3, 1, 4)] > 0.9
-    assert posterior[code(0, 1, 0)] < 0.01 and posterior[code(3, 0, 0)] < 0.2 and posterior[code(0, 0, 4)] < 0.2
-    assert estimate({}) == {} and not admissible(code(3, 0, 4)) and admissible(code(2, 1, 4)) and not admissible(code(3, 1, 0))
+    address, identifier, both = range(3)
+    counts = {(4, 3, 4, both): 300, (3, 2, 4, both): 100, (4, 1, 4, address): 480, (1, 1, 0, address): 4000, (1, 0, 0, address): 3000, (4, 0, 0, address): 60, (0, 0, 4, address): 20, (0, 1, 4, address): 50, (0, 1, 2, address): 100, (0, 0, 2, address): 300, (1, 2, 0, identifier): 70, (3, 3, 2, identifier): 20, (0, 2, 4, both): 5}
+    posterior = estimate({pattern_of(*k): n for k, n in counts.items()})
+    accepted = {k for k in counts if posterior[pattern_of(*k)] >= 0.5}
+    assert accepted == {(4, 3, 4, both), (3, 2, 4, both), (4, 1, 4, address), (3, 3, 2, identifier), (0, 2, 4, both)}
+    assert posterior[pattern_of(4, 3, 4, both)] > 0.99 and posterior[pattern_of(1, 0, 0, address)] < 0.01 and estimate({}) == {}
+    few = estimate({pattern_of(*k): n // 50 + (k[0] == 4 and k[2] == 0) * 900 for k, n in counts.items()})
+    assert few[pattern_of(4, 0, 0, address)] != posterior[pattern_of(4, 0, 0, address)]
+
+
+@pytest.mark.parametrize(
+    "a, b, level",
+    [("rossi mario", "mario rossi", 4), ("querocca asfalti", "querocca inerti", 0), ("sarstrante luigi", "sarstrannte umberto", 0), ("brenzvido", "tarsugo", 1), ("carpenteria metallica tommaso brindido", "carpenteraimetal tommaso brindido", 3), ("ponteggib devimma", "ponteggi bartolomeo devima", 3), ("spurghil. grurmgrassi", "spurghi lorenzo grurmgrassi", 3)],
+)
+def test_name_levels(a, b, level):
+    assert name_level([a], [b], COMMON) == level == name_level([b], [a], COMMON)
+
+
+def test_forms_written_together_with_names():
+    for text, words in (("TUMBEOS.R.L. - ESTRAZIONE CAVE", ("tumbeo", "estrazione", "cave")), ("SEPSTNETTIS R L - ASFALTI", ("sepstnetti", "asfalti")), ("LARSPRALDISRL", ("larspraldi",)), ("IMPIANTIF.LLI GALDTOCCA", ("impianti", "fratelli", "galdtocca")), ("C.ZIOIMPIANTI GESTTRULLI", ("consorzio", "impianti", "gesttrulli")), ("NUOVA DITTA SENZALDI", ("senzaldi",))):
+        assert parse_name(text).words == words
+
+
+def test_equal_profiles_are_compared_once(spark, monkeypatch):
+    rows = [(n, "x", ["ecologia glubscisco"], ["12345678901"], ["Via Roma 1, Montecalvesa"]) for n in range(60)] + [(100 + n, "y", ["glubscisco ecologia"], ["12345678901"], ["Via Roma 1, Montecalvesa"]) for n in range(60)]
+    profiles = spark.createDataFrame(rows, "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>")
+    seen = {}
+    monkeypatch.setattr("tabularium.llm.linkage.estimate", lambda counts: seen.update(counts) or dict.fromkeys(counts, 1.0))
+    assert linked_records(profiles, ("x", "y"), COMMON).count() == 3600 and list(seen.values()) == [3600]
 
 
 def test_linkage_across_sides(spark):
