@@ -52,6 +52,15 @@ def accent_map() -> dict[int, str]:
     return table
 
 
+def unaccented(text: Column) -> Column:
+    """``strip_accents`` of a column; only texts with letters that no table folds leave the JVM."""
+    strip = F.pandas_udf(lambda texts: texts.map(lambda t: None if t is None else strip_accents(t)), StringType())
+    source, target = latin_table()
+    plain = F.lower(F.translate(text, source, target))
+    known = ~plain.rlike(r"[\p{L}\p{M}&&[^\x00-\x7F]]")
+    return F.when(known, plain).otherwise(strip(F.when(~known, text)))
+
+
 def _fold_series(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else fold_text(t))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabularium.operators.ordering import numbered
+
 
 def edition_aggregates(rows: DataFrame, edition: str, status: str, content: Sequence[str]) -> DataFrame:
     """Per edition the rows, counts by status as a map, and a fingerprint of the content whatever the order of rows."""
@@ -22,11 +24,10 @@ def logical_editions(editions: DataFrame, scope: str, date: str, fingerprint: st
     Without a fingerprint only the same document read by the same parser is the same content.
     """
     same = F.when(F.col(fingerprint).isNotNull(), F.concat(F.lit("data|"), fingerprint)).otherwise(F.concat_ws("|", F.lit("document"), document, parser))
-    best = F.struct(F.coalesce(F.col(checked).cast("string"), F.lit("")).alias("c"), F.col(id_).alias("i"))
+    newest_first = F.struct(F.coalesce(-F.unix_micros(F.col(checked).cast("timestamp")), F.lit(2**62)).alias("c"), F.col(id_).alias("i"))
     grouped = editions.withColumn("_content", same).groupBy(scope, date, "_content")
-    out = grouped.agg(F.max(F.col(checked)).alias("latest_check"), F.count("*").alias("versions"), F.count_distinct(document).alias("documents"), F.max(best["c"]).alias("_c"), F.collect_set(best).alias("_all"))
-    chosen = F.array_min(F.transform(F.filter("_all", lambda x: x["c"] == F.col("_c")), lambda x: x["i"]))
-    return out.select(scope, date, chosen.alias(id_), "versions", "documents", "latest_check")
+    out = grouped.agg(F.max(F.col(checked)).alias("latest_check"), F.count("*").alias("versions"), F.count_distinct(document).alias("documents"), F.min(newest_first)["i"].alias(id_))
+    return out.select(scope, date, id_, "versions", "documents", "latest_check")
 
 
 def edition_events(editions: DataFrame, scope: str, date: str, id_: str, document: str, parser: str, fingerprint: str, total: str) -> DataFrame:
@@ -171,9 +172,9 @@ def consecutive_transitions(rows: DataFrame, edition: str, key: str, state: str)
 
     Each key's row is set beside the editions around it, so nothing is joined with itself.
     """
-    numbered = rows.select(edition).distinct().withColumn("_no", F.row_number().over(Window.orderBy(edition)))
-    last = numbered.agg(F.max("_no").alias("_last"))
-    placed = rows.join(F.broadcast(numbered), edition).crossJoin(F.broadcast(last))
+    order = numbered(rows.select(edition).filter(F.col(edition).isNotNull()).distinct(), [edition], "_no").withColumn("_no", F.col("_no") + 1)
+    last = order.agg(F.max("_no").alias("_last"))
+    placed = rows.join(order, edition).crossJoin(F.broadcast(last))
     w = Window.partitionBy(key).orderBy("_no")
     around = placed.withColumns({"_before": F.when(F.lag("_no").over(w) == F.col("_no") - 1, F.lag(state).over(w)), "_follows": F.coalesce(F.lead("_no").over(w) == F.col("_no") + 1, F.lit(False))})
     absent = F.lit("(absent)")

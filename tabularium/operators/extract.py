@@ -68,15 +68,21 @@ def carried(rows: DataFrame, document: Sequence[str], order: Sequence[str], head
 def collapsed(rows: DataFrame, identity: Sequence[str], order: str, item: str, variants: Sequence[str] = ()) -> DataFrame:
     """One row per identity with its items in order of appearance, once each, and all distinct values of other columns with a flag where they differ.
 
-    An identity's items are gathered into one list, so it should be that of a record of a document.
+    Repetitions are merged before anything is gathered, so a list holds no more than the distinct items of its identity. NULL items are none.
     """
-    ordered = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order, item))), lambda x: x[item]))
-    kept = [F.array_sort(F.collect_set(v)).alias(f"{v}_variants") for v in variants]
-    differ = [F.count_distinct(v) > 1 for v in variants]
-    conflict = differ[0] if differ else F.lit(False)
-    for d in differ[1:]:
-        conflict = conflict | d
-    return rows.groupBy(*identity).agg(ordered.alias("items"), F.count("*").alias("rows"), *kept, conflict.alias("conflict"))
+    once = rows.groupBy(*identity, item).agg(F.min(order).alias("_first"), F.count("*").alias("_rows"), *[F.collect_set(v).alias(f"_{v}") for v in variants])
+    ordered = F.transform(F.array_sort(F.collect_list(F.when(F.col(item).isNotNull(), F.struct("_first", F.col(item).alias("_item"))))), lambda x: x["_item"])
+    kept = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"_{v}")))).alias(f"{v}_variants") for v in variants]
+    out = once.groupBy(*identity).agg(ordered.alias("items"), F.sum("_rows").alias("rows"), *kept)
+    conflict = F.lit(False)
+    for v in variants:
+        conflict = conflict | (F.size(f"{v}_variants") > 1)
+    return out.withColumn("conflict", conflict)
+
+
+def reconstructed(rows: DataFrame, identity: Sequence[str], date: Column, raw: Column, order: str, sector: str) -> DataFrame:
+    """One row per identity and date with its sectors in order: of a bundle of one list per sector. A date that cannot be read is told apart by its text."""
+    return collapsed(rows.withColumn("date_key", date_or_raw(date, raw)), [*identity, "date_key"], order, sector)
 
 
 def date_or_raw(date: Column, raw: Column) -> Column:

@@ -7,30 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.functions.fold import unaccented
 from tabularium.functions.scalars import street_and_civic
-from tabularium.operators.relations import longest_prefix, top_one
+from tabularium.operators.relations import top_one
 
-#: Beginnings of street names and the type each stands for, longest first.
+#: First words of street names and the type each stands for, in the order in which they are tried.
 ROAD_TYPES = (
-    ("strada provinciale", "strada provinciale"), ("strada statale", "strada statale"), ("s p", "strada provinciale"), ("s s", "strada statale"), ("viale", "viale"), ("v le", "viale"), ("vle", "viale"), ("via", "via"), ("v", "via"),
-    ("corso", "corso"), ("c so", "corso"), ("cso", "corso"), ("piazzale", "piazzale"), ("p le", "piazzale"), ("piazza", "piazza"), ("p zza", "piazza"), ("p za", "piazza"), ("pza", "piazza"), ("largo", "largo"), ("l go", "largo"),
-    ("vicolo", "vicolo"), ("v lo", "vicolo"), ("vlo", "vicolo"), ("traversa", "traversa"), ("trav", "traversa"), ("contrada", "contrada"), ("c da", "contrada"), ("localita", "localita"), ("loc", "localita"),
+    ("strada statale", "ss"), ("s s", "ss"), ("ss", "ss"), ("strada provinciale", "sp"), ("s p", "sp"), ("sp", "sp"), ("c da", "contrada"), ("cda", "contrada"), ("contrada", "contrada"), ("p zza", "piazza"), ("pzza", "piazza"), ("piazza", "piazza"),
+    ("piazzale", "piazzale"), ("localita", "localita"), ("loc", "localita"), ("frazione", "frazione"), ("fraz", "frazione"), ("viale", "viale"), ("via", "via"), ("corso", "corso"), ("strada", "strada"), ("vicolo", "vicolo"), ("vico", "vico"), ("largo", "largo"), ("rione", "rione"),
 )
 
 
 def street_key(text: Column) -> Column:
     """A street's type and words for equality joins: ``type|words``; unspecified without a known type, empty without words."""
-    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "àáâèéêìíòóùú", "aaaeeeiioouu")
-    spelt = F.array_join(F.regexp_extract_all(plain, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), " ")
+    spelt = F.array_join(F.regexp_extract_all(unaccented(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), " ")
+    pattern = rf"^(?:({'|'.join(p for p, _ in ROAD_TYPES)})(?: |$))?(.*)$"
     kinds = F.create_map(*[F.lit(x) for pair in ROAD_TYPES for x in pair])
-    pattern = rf"^(?:({'|'.join(sorted((p for p, _ in ROAD_TYPES), key=len, reverse=True))})(?: |$))?(.*)$"
-    kind, rest = F.try_element_at(kinds, F.regexp_extract(spelt, pattern, 1)), F.regexp_extract(spelt, pattern, 2)
-    return F.when(rest == "", "").otherwise(F.concat_ws("|", F.coalesce(kind, F.lit("unspecified")), rest))
-
-
-def split_municipality(addresses: DataFrame, text: str, municipalities: DataFrame, name: str, code: str) -> DataFrame:
-    """Addresses with the municipality that begins them (see ``longest_prefix``) and the rest of their words."""
-    return longest_prefix(addresses, text, municipalities, name, code)
+    words = F.regexp_extract(spelt, pattern, 2)
+    return F.when(words == "", "").otherwise(F.concat_ws("|", F.coalesce(F.try_element_at(kinds, F.regexp_extract(spelt, pattern, 1)), F.lit("unspecified")), words))
 
 
 def linked_to_reference(addresses: DataFrame, reference: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabularium.operators.ordering import running_total
+
 
 def quantile_summary(rows: DataFrame, by: Sequence[str], value: Column, thresholds: Sequence[float] = ()) -> DataFrame:
     """n, p25, median, p75 and p90 by linear interpolation with two decimals, and the counts above thresholds; no values give n = 0 and NULLs."""
@@ -34,18 +36,28 @@ def share_bounds(rows: DataFrame, by: Sequence[str], condition: Column) -> DataF
 
 
 def competition_rank(rows: DataFrame, by: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """1, 1, 3 ranks from the greatest value down; missing values have no rank."""
-    w = Window.partitionBy(*by, F.col(value).isNull()).orderBy(F.col(value).desc())
-    return rows.withColumn(name, F.when(F.col(value).isNotNull(), F.rank().over(w)))
+    """1, 1, 3 ranks from the greatest value down; missing values have no rank. Over all rows (no ``by``) distinct values are counted and totalled by ranges, not in one task."""
+    if by:
+        w = Window.partitionBy(*by, F.col(value).isNull()).orderBy(F.col(value).desc())
+        return rows.withColumn(name, F.when(F.col(value).isNotNull(), F.rank().over(w)))
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    above = running_total(counts, [F.col("_value").desc()], F.col("_n"), "_above")
+    return rows.join(above, F.col(value) == F.col("_value"), "left").withColumn(name, F.col("_above") + 1).select(*rows.columns, name)
 
 
 def midrank_score(rows: DataFrame, by: Sequence[str], value: str, name: str = "score") -> DataFrame:
-    """0 to 100 by the mean position among ties; NULL for missing values and where fewer than two are known."""
+    """0 to 100 by the mean position among ties; NULL for missing values and where fewer than two are known. Over all rows (no ``by``) as ``competition_rank``."""
     known = F.col(value).isNotNull()
-    w = Window.partitionBy(*by, F.col(value).isNull())
-    below = F.rank().over(w.orderBy(value)) - 1
-    ties = F.count("*").over(Window.partitionBy(*by, F.col(value).isNull(), value))
-    return rows.withColumn(name, F.when(known, F.try_divide(100.0 * (below + (ties - 1) / 2), F.nullif(F.count("*").over(w) - 1, F.lit(0)))))
+    score = lambda below, ties, n: F.when(known, F.try_divide(100.0 * (below + (ties - 1) / 2), F.nullif(n - 1, F.lit(0))))
+    if by:
+        w = Window.partitionBy(*by, F.col(value).isNull())
+        ties = F.count("*").over(Window.partitionBy(*by, F.col(value).isNull(), value))
+        return rows.withColumn(name, score(F.rank().over(w.orderBy(value)) - 1, ties, F.count("*").over(w)))
+    counts = rows.filter(known).groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_ties"))
+    below = running_total(counts, ["_value"], F.col("_ties"), "_below")
+    total = rows.agg(F.count(value).alias("_known"))
+    joined = rows.join(below, F.col(value) == F.col("_value"), "left").crossJoin(F.broadcast(total))
+    return joined.withColumn(name, score(F.col("_below"), F.col("_ties"), F.col("_known"))).select(*rows.columns, name)
 
 
 def mean_of_complete(scores: DataFrame, key: str, event: str, score: str) -> DataFrame:

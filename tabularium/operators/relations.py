@@ -24,25 +24,58 @@ def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (*order, *rest)]).select(*rows.columns)
 
 
+#: Parts that the time of a range join is cut into.
+TIME_PARTS = 256
+
+
+def _seconds(at: Column) -> Column:
+    return at.cast("timestamp").cast("double")
+
+
+def _time_parts(rows: DataFrame, *columns: str) -> tuple[float, float]:
+    """The first moment among some columns and the width of one of ``TIME_PARTS`` parts up to the last one."""
+    ends = [f(_seconds(F.col(c))) for c in columns for f in (F.min, F.max)]
+    met = [v for v in rows.agg(*[e.alias(f"_{n}") for n, e in enumerate(ends)]).first() if v is not None]
+    low, high = (min(met), max(met)) if met else (0.0, 0.0)
+    return low, max(1.0, (high - low) / TIME_PARTS)
+
+
+def _part(at: Column, low: float, width: float) -> Column:
+    return F.when(at.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(TIME_PARTS), F.floor((_seconds(at) - low) / width)))).cast("int")
+
+
+def _covered(start: Column, end: Column, low: float, width: float) -> Column:
+    first, last = F.coalesce(_part(start, low, width), F.lit(0)), F.coalesce(_part(end, low, width), F.lit(TIME_PARTS))
+    return F.when(first <= last, F.sequence(first, last))
+
+
 def join_in_period(facts: DataFrame, periods: DataFrame, on: Sequence[str], at: str, start: str, end: str, how: str = "inner") -> DataFrame:
-    """Facts with the rows of ``periods`` that have equal keys and hold the moment ``at`` in [start, end)."""
-    renamed = periods.withColumnsRenamed({c: f"_p_{c}" for c in on})
-    same = [F.col(c) == F.col(f"_p_{c}") for c in on]
-    condition = contains(F.col(start), F.col(end), F.col(at))
-    for c in same:
-        condition = c & condition
-    return facts.join(renamed, condition, how).drop(*[f"_p_{c}" for c in on])
+    """Facts with the rows of ``periods`` that have equal keys and hold the moment ``at`` in [start, end).
+
+    Time is cut into parts between the first and the last fact; a period stands once for each part it touches and meets
+    only the facts of that part, so not every fact meets every period of its key. A fact without moment holds in no period.
+    """
+    low, width = _time_parts(facts, at)
+    renamed = periods.withColumnsRenamed({c: f"_p_{c}" for c in on}).withColumn("_p_part", F.explode(_covered(F.col(start), F.col(end), low, width)))
+    condition = contains(F.col(start), F.col(end), F.col(at)) & (F.col("_f_part") == F.col("_p_part"))
+    for c in on:
+        condition = (F.col(c) == F.col(f"_p_{c}")) & condition
+    return facts.withColumn("_f_part", _part(F.col(at), low, width)).join(renamed, condition, how).drop("_f_part", "_p_part", *[f"_p_{c}" for c in on])
 
 
 def period_conflicts(rows: DataFrame, key: Sequence[str], id_: str, periods: Sequence[tuple[str, str]]) -> DataFrame:
     """Pairs of ids of one key whose periods overlap in every one of ``periods``.
 
-    If the first period's starts are unique within a key the pairs are found by an equi-join; a key with very many rows is split by AQE.
+    Rows are spread over the parts of time that their first period touches, and a pair is taken only in the part where the later of the two begins, so
+    of a key with very many rows only those that stand close in time meet.
     """
     names = [c for p in periods for c in p]
-    a = rows.select(*key, F.col(id_).alias(f"{id_}_1"), *[F.col(c).alias(f"_a_{c}") for c in names])
-    b = rows.select(*key, F.col(id_).alias(f"{id_}_2"), *[F.col(c).alias(f"_b_{c}") for c in names])
-    joined = a.join(b, list(key)).filter(F.col(f"{id_}_1") < F.col(f"{id_}_2"))
+    start, end = periods[0]
+    low, width = _time_parts(rows, start, end)
+    spread = rows.select(*key, id_, *names, F.coalesce(_part(F.col(start), low, width), F.lit(0)).alias("_begins"), F.explode(_covered(F.col(start), F.col(end), low, width)).alias("_part"))
+    a = spread.select(*key, "_part", F.col("_begins").alias("_a_begins"), F.col(id_).alias(f"{id_}_1"), *[F.col(c).alias(f"_a_{c}") for c in names])
+    b = spread.select(*key, "_part", F.col("_begins").alias("_b_begins"), F.col(id_).alias(f"{id_}_2"), *[F.col(c).alias(f"_b_{c}") for c in names])
+    joined = a.join(b, [*key, "_part"]).filter((F.col(f"{id_}_1") < F.col(f"{id_}_2")) & (F.col("_part") == F.greatest("_a_begins", "_b_begins")))
     for start, end in periods:
         joined = joined.filter(overlap(F.col(f"_a_{start}"), F.col(f"_a_{end}"), F.col(f"_b_{start}"), F.col(f"_b_{end}")))
     return joined.select(*key, f"{id_}_1", f"{id_}_2")
@@ -76,10 +109,14 @@ def complete_only(parts: Sequence[DataFrame], key: str, total: str, value: str)
 
 
 def pairwise_overlap(rows: DataFrame, scope: Sequence[str], source: str, key: str) -> DataFrame:
-    """For each pair of sources of a scope that share keys, how many they share."""
-    once = rows.select(*scope, source, key).distinct()
-    pairs = once.withColumnRenamed(source, f"{source}_1").join(once.withColumnRenamed(source, f"{source}_2"), [*scope, key]).filter(F.col(f"{source}_1") < F.col(f"{source}_2"))
-    return pairs.groupBy(*scope, f"{source}_1", f"{source}_2").agg(F.count("*").alias("shared"))
+    """For each pair of sources of a scope that share keys, how many they share.
+
+    Keys that stand in the same sources are counted together first, so only distinct sets of sources are spelt out in pairs.
+    """
+    sets = rows.filter(F.col(key).isNotNull() & F.col(source).isNotNull()).groupBy(*scope, key).agg(F.array_sort(F.collect_set(source)).alias("_set")).filter(F.size("_set") > 1)
+    counted = sets.groupBy(*scope, "_set").agg(F.count("*").alias("_n")).select(*scope, "_set", "_n", F.posexplode("_set").alias("_i", f"{source}_1"))
+    pairs = counted.select(*scope, f"{source}_1", "_n", F.explode(F.slice("_set", F.col("_i") + 2, F.size("_set"))).alias(f"{source}_2"))
+    return pairs.groupBy(*scope, f"{source}_1", f"{source}_2").agg(F.sum("_n").alias("shared"))
 
 
 def routed(rows: DataFrame, rules: DataFrame, on: Sequence[str], priority: str, target: str) -> DataFrame:

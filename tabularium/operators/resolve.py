@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,15 +26,17 @@ def safe_links(observations: DataFrame, name: str, identifier: str, date: str) -
     return named.withColumn("_n", F.count("*").over(w)).filter("_n = 1").drop("_n")
 
 
-def resolved(observations: DataFrame, id_: str, name: str, identifier: str) -> DataFrame:
-    """Each observation with its subject: observations of one name that share an unambiguous identifier are one, by connected components.
+def resolved(observations: DataFrame, id_: str, name: str, identifier: str, strong: Column | None = None) -> DataFrame:
+    """Each observation with its subject: observations of one name that share an unambiguous identifier are one, also over several steps, by connected components.
 
-    Edges run from an observation to its (name, identifier), so a group of any size gives as many edges as rows. An observation without one is
-    a subject of its own.
+    An observation may have several rows, one per identifier, and joins what shares any of them. strong: which identifiers may link. Edges run from an
+    observation to its (name, identifier), so a group of any size gives as many edges as rows. ``subject`` is the least observation of the component, and
+    NULL, unresolved, for an observation without any identifier that links.
     """
-    safe = unambiguous(observations, name, identifier).filter(F.col(name).isNotNull())
+    linking = observations if strong is None else observations.filter(strong)
+    safe = unambiguous(linking, name, identifier).filter(F.col(name).isNotNull() & F.col(id_).isNotNull())
     node = F.concat(F.lit("~"), F.sha2(F.concat_ws("\x1f", name, identifier), 256))
     edges = safe.select(F.concat(F.lit("!"), F.lpad(F.col(id_).cast("string"), 20, "0")).alias("a"), node.alias("b"))
-    roots = components(edges, "a", "b").withColumn(id_, F.regexp_extract("node", r"^!0*(\d+)$", 1).try_cast("bigint")).filter(F.col(id_).isNotNull())
-    subject = F.regexp_extract("root", r"^!0*(\d+)$", 1).try_cast("bigint")
-    return observations.select(id_).distinct().join(roots.select(id_, subject.alias("_s")), id_, "left").select(id_, F.coalesce("_s", id_).alias("subject"))
+    number = lambda c: F.regexp_extract(c, r"^!0*(\d+)$", 1).try_cast("bigint")
+    roots = components(edges, "a", "b").withColumn(id_, number("node")).filter(F.col(id_).isNotNull())
+    return observations.select(id_).distinct().join(roots.select(id_, number("root").alias("subject")), id_, "left").select(id_, "subject")

@@ -27,6 +27,23 @@ def superseded(current: DataFrame, desired: DataFrame, key: Sequence[str], value
     return closed.select(*rows.columns).unionByName(rows)
 
 
+def expired(current: DataFrame, eligible: DataFrame, key: Sequence[str], now: Column, scope: Column | None = None) -> DataFrame:
+    """The table with open versions closed at ``now`` whose key is no longer eligible; ``scope`` says which open rows are judged at all.
+
+    eligible: the keys that may stay open, made by semi- and anti-joins (see ``unserved``); a NULL key is never eligible.
+    """
+    judged = F.col("valid_to").isNull() & (F.lit(True) if scope is None else F.coalesce(scope, F.lit(False)))
+    closing = current.filter(judged).join(eligible.select(*key).distinct(), list(key), "left_anti").withColumn("valid_to", now.cast(current.schema["valid_to"].dataType)).select(*current.columns)
+    staying = current.filter(judged).join(eligible.select(*key).distinct(), list(key), "left_semi").select(*current.columns)
+    return current.filter(~judged).unionByName(staying).unionByName(closing)
+
+
+def unserved(routes: DataFrame, always: Column, after_failure: Column, results: DataFrame, key: Sequence[str], failed: Column, good: Column) -> DataFrame:
+    """Keys whose route always asks for a second provider, or does so after the first one failed and gave nothing good."""
+    second = routes.filter(after_failure).join(results.filter(failed).select(*key), list(key), "left_semi").join(results.filter(good).select(*key), list(key), "left_anti")
+    return routes.filter(always).select(*key).unionByName(second.select(*key)).distinct()
+
+
 def to_append(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the table lacks, one per key."""
     return incoming.dropDuplicates(list(key)).join(existing.select(*key), list(key), "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import filters
 from tabularium.functions.fold import folded
-from tabularium.functions.scalars import bundle_key, ladder, mask_ids, normalised_name, number_key, percent, shard_digit, street_and_civic
+from tabularium.functions.scalars import bundle_key, ladder, mask_ids, normalised_name, percent, shard_digit, street_and_civic
 from tabularium.operators import editions as E
 from tabularium.operators import metrics as M
 from tabularium.operators import relations as R
@@ -63,21 +63,29 @@ def edition_totals(s: SparkSession, d: str) -> DataFrame:
     return out.select("edition_id", "total", text.alias("statuses"))
 
 
-@query(f"""WITH {_FILES},
-w AS (SELECT *, lag(CASE WHEN same = 1 AND reference_from IS NOT NULL THEN 1 ELSE 0 END) OVER o AS pa, lag(edition_id) OVER o AS pi, lag(document) OVER o AS pd, lag(parser) OVER o AS pp, lag(total) OVER o AS pt, lag(reference_from) OVER o AS pr
-      FROM a WINDOW o AS (PARTITION BY source_series_key ORDER BY reference_from ASC NULLS FIRST, edition_id)),
+_CONTENT = "c AS (SELECT edition_id, concat_ws('|', count(*), CAST(sum(entry_id) AS BIGINT), min(source_name_normalised), max(source_status_code)) AS fp FROM entity_observation GROUP BY 1)"
+
+
+def _contents(s: SparkSession, d: str) -> DataFrame:
+    """What an edition's rows amount to, in a text that both engines make alike."""
+    fingerprint = F.concat_ws("|", F.count("*"), F.sum("entry_id"), F.min("source_name_normalised"), F.max("source_status_code"))
+    return _observed(s, d).groupBy("edition_id").agg(fingerprint.alias("fingerprint"))
+
+
+@query(f"""WITH {_FILES}, {_CONTENT}, b AS (SELECT a.*, c.fp FROM a LEFT JOIN c USING (edition_id)),
+w AS (SELECT *, lag(CASE WHEN same = 1 AND reference_from IS NOT NULL THEN 1 ELSE 0 END) OVER o AS pa, lag(edition_id) OVER o AS pi, lag(document) OVER o AS pd, lag(parser) OVER o AS pp, lag(total) OVER o AS pt, lag(reference_from) OVER o AS pr, lag(fp) OVER o AS pf
+      FROM b WINDOW o AS (PARTITION BY source_series_key ORDER BY reference_from ASC NULLS FIRST, edition_id)),
 x AS (SELECT *, CASE WHEN pa = 1 AND same = 1 AND reference_from IS NOT NULL THEN 1 ELSE 0 END AS v FROM w)
 SELECT source_series_key, edition_id, CASE WHEN v = 1 THEN pi END AS before_edition_id,
   CASE WHEN reference_from IS NULL THEN 'undated' WHEN same > 1 THEN 'unordered' WHEN v = 0 THEN 'baseline'
-       WHEN document IS NOT DISTINCT FROM pd AND parser IS NOT DISTINCT FROM pp THEN 'same_document' WHEN parser IS DISTINCT FROM pp THEN 'parser_revision' ELSE 'document_changed' END AS event,
+       WHEN document IS NOT DISTINCT FROM pd AND parser IS NOT DISTINCT FROM pp THEN 'same_document' WHEN parser IS DISTINCT FROM pp THEN 'parser_revision'
+       WHEN pf IS NOT NULL AND fp IS NOT NULL THEN CASE WHEN pf = fp THEN 'file_only' ELSE 'data_changed' END ELSE 'document_changed' END AS event,
   CASE WHEN v = 1 THEN date_diff('day', pr, reference_from) END AS gap_days, CASE WHEN v = 1 THEN total - pt END AS delta FROM x""")
 def edition_events(s: SparkSession, d: str) -> DataFrame:
     """The event each edition is in its series."""
-    files = _files(s, d).withColumn("fingerprint", F.lit(None).cast("string"))
-    out = E.edition_events(files, "source_series_key", "reference_from", "edition_id", "document", "parser", "fingerprint", "total")
+    out = E.edition_events(_files(s, d).join(_contents(s, d), "edition_id", "left"), "source_series_key", "reference_from", "edition_id", "document", "parser", "fingerprint", "total")
     return out.select("source_series_key", "edition_id", "before_edition_id", "event", F.col("gap_days").cast("bigint").alias("gap_days"), "delta")
 
-
 @query("""WITH c AS (SELECT source_series_key, reference_from, count(*) AS n, min(edition_id) AS i FROM source_edition WHERE reference_from <= DATE '2024-01-01' GROUP BY 1, 2),
 b AS (SELECT source_series_key, max(reference_from) AS m FROM c GROUP BY 1)
 SELECT s.source_series_key, CASE WHEN b.m IS NULL THEN 'missing' WHEN c.n > 1 THEN 'ambiguous' ELSE 'selected' END AS state, CASE WHEN c.n = 1 THEN c.i END AS edition_id, CAST(b.m AS VARCHAR) AS as_of
@@ -182,14 +190,19 @@ def guarded_comparison(s: SparkSession, d: str) -> DataFrame:
     return E.guarded_diff(b.filter(early), b.filter(~early), "bundle", "name", "status")
 
 
-@query(f"""WITH {_FILES}, h AS (SELECT source_series_key, parser, reference_from, count(*) AS n, min(edition_id) AS i FROM e GROUP BY 1, 2, 3),
-g AS (SELECT *, lag(i) OVER w AS pi, lag(n) OVER w AS pn FROM h WHERE reference_from IS NOT NULL WINDOW w AS (PARTITION BY source_series_key, parser ORDER BY reference_from))
-SELECT e.source_series_key, e.edition_id AS after, g.pi AS before FROM e JOIN g ON g.source_series_key = e.source_series_key AND g.parser = e.parser AND g.reference_from = e.reference_from WHERE g.pn = 1""")
+@query(f"""WITH {_FILES}, k AS (SELECT e.*, s.created_at AS checked FROM e JOIN source_edition s USING (edition_id)),
+h AS (SELECT source_series_key, parser, reference_from, count(*) AS n, min(edition_id) AS i FROM k GROUP BY 1, 2, 3),
+g AS (SELECT *, lag(i) OVER w AS pi, lag(n) OVER w AS pn FROM h WHERE reference_from IS NOT NULL WINDOW w AS (PARTITION BY source_series_key, parser ORDER BY reference_from)),
+c AS (SELECT source_series_key, parser, checked, count(*) AS n, min(edition_id) AS i, min(reference_from) AS r FROM k WHERE checked IS NOT NULL GROUP BY 1, 2, 3),
+l AS (SELECT *, lag(i) OVER w AS ci, lag(n) OVER w AS cn, lag(r) OVER w AS cr FROM c WINDOW w AS (PARTITION BY source_series_key, parser ORDER BY checked)),
+z AS (SELECT k.source_series_key, k.edition_id AS after, CASE WHEN g.pi IS NOT NULL THEN CASE WHEN g.pn = 1 THEN g.pi END WHEN l.cn = 1 AND (l.cr IS NULL OR k.reference_from IS NULL OR l.cr = k.reference_from) THEN l.ci END AS before,
+        CASE WHEN g.pi IS NOT NULL THEN 'reference_date' ELSE 'check_time' END AS basis
+      FROM k LEFT JOIN g ON g.source_series_key = k.source_series_key AND g.parser = k.parser AND g.reference_from = k.reference_from LEFT JOIN l ON l.source_series_key = k.source_series_key AND l.parser = k.parser AND l.checked = k.checked)
+SELECT * FROM z WHERE before IS NOT NULL""")
 def editions_to_compare(s: SparkSession, d: str) -> DataFrame:
-    """The edition each one is compared with by reference date."""
-    files = _files(s, d).withColumn("checked", F.lit(None).cast("timestamp"))
-    return E.comparison_pairs(files, "source_series_key", "reference_from", "edition_id", "parser", "checked").select("source_series_key", "after", "before")
-
+    """The edition each one is compared with by reference date, or by the time it was recorded."""
+    files = _files(s, d).join(_editions(s, d).select("edition_id", F.col("created_at").alias("checked")), "edition_id")
+    return E.comparison_pairs(files, "source_series_key", "reference_from", "edition_id", "parser", "checked")
 
 @query("""WITH m AS (SELECT strftime(observation_date, '%Y-%m') AS mo, entry_id, arg_max(source_status_code, (projected_at, entity_observation_id)) AS st FROM entity_observation GROUP BY 1, 2),
 n AS (SELECT mo, row_number() OVER (ORDER BY mo) AS no FROM (SELECT DISTINCT mo FROM m)),
@@ -255,7 +268,8 @@ def overlapping_reference_periods(s: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH w AS (SELECT establishment_observation_id, regexp_extract_all(lower(full_address_raw), '[\\p{L}\\p{N}]+') AS ws FROM establishment_observation),
 k AS (SELECT array_to_string(regexp_extract_all(lower(jurisdiction_name), '[\\p{L}\\p{N}]+'), ' ') AS p, min(authority_key) AS code, count(DISTINCT authority_key) AS n FROM territorial_authority GROUP BY 1),
-h AS (SELECT w.establishment_observation_id, n.i, k.code, k.n FROM w, range(1, 7) n(i), k WHERE n.i <= len(w.ws) AND array_to_string(w.ws[1:n.i], ' ') = k.p),
+n AS (SELECT DISTINCT len(string_split(p, ' ')) AS i FROM k),
+h AS (SELECT w.establishment_observation_id, n.i, k.code, k.n FROM w, n, k WHERE n.i <= len(w.ws) AND array_to_string(w.ws[1:n.i], ' ') = k.p),
 b AS (SELECT establishment_observation_id, arg_max(code, i) AS code, arg_max(n, i) AS n FROM h GROUP BY 1)
 SELECT w.establishment_observation_id, CASE WHEN b.n = 1 THEN b.code END AS authority_key, CASE WHEN b.n IS NULL THEN 'none' WHEN b.n > 1 THEN 'ambiguous' ELSE 'unique' END AS prefix_status FROM w LEFT JOIN b USING (establishment_observation_id)""")
 def address_place_prefixes(s: SparkSession, d: str) -> DataFrame:
@@ -273,19 +287,16 @@ def editions_with_equal_counts(s: SparkSession, d: str) -> DataFrame:
     return R.complete_only([a, b], "edition_id", "total", "value")
 
 
-@query("""WITH k AS (SELECT DISTINCT e.source_series_key AS s, o.authority_key AS a, i.normalised_value AS v FROM identifier_observation i JOIN entity_observation o USING (entity_observation_id) JOIN source_edition e USING (edition_id))
-SELECT x.a AS authority_key, x.s AS source_series_key_1, y.s AS source_series_key_2, count(*) AS shared FROM k x JOIN k y ON x.a = y.a AND x.v = y.v AND x.s < y.s GROUP BY 1, 2, 3""")
-def series_sharing_identifiers(s: SparkSession, d: str) -> DataFrame:
-    """Series of one authority that share identifiers."""
-    rows = table(s, d, "identifier_observation").join(_observed(s, d), "entity_observation_id").join(_editions(s, d).select("edition_id", "source_series_key"), "edition_id")
-    return R.pairwise_overlap(rows, ["authority_key"], "source_series_key", "normalised_value")
-
+@query("""WITH k AS (SELECT DISTINCT source_status_code AS a, authority_key AS s, observation_date AS v FROM entity_observation WHERE authority_key IS NOT NULL)
+SELECT x.a AS source_status_code, x.s AS authority_key_1, y.s AS authority_key_2, count(*) AS shared FROM k x JOIN k y ON x.a = y.a AND x.v = y.v AND x.s < y.s GROUP BY 1, 2, 3""")
+def authorities_seen_together(s: SparkSession, d: str) -> DataFrame:
+    """Authorities with rows of one status on the same days, and on how many."""
+    return R.pairwise_overlap(_observed(s, d), ["source_status_code"], "authority_key", "observation_date")
 
-@query("""(SELECT edition_id, 'left' AS side FROM source_edition EXCEPT ALL SELECT DISTINCT edition_id, 'left' FROM entity_observation) UNION ALL (SELECT DISTINCT edition_id, 'right' FROM entity_observation EXCEPT ALL SELECT edition_id, 'right' FROM source_edition)""")
+@query("""(SELECT edition_id, 'left' AS side FROM source_edition WHERE publication_date IS NOT NULL EXCEPT ALL SELECT edition_id, 'left' FROM parse_snapshot) UNION ALL (SELECT edition_id, 'right' FROM parse_snapshot EXCEPT ALL SELECT edition_id, 'right' FROM source_edition WHERE publication_date IS NOT NULL)""")
 def edition_cover(s: SparkSession, d: str) -> DataFrame:
-    """Editions without rows and rows' editions that are not listed."""
-    return R.set_difference(_editions(s, d).select("edition_id"), _observed(s, d).select("edition_id").distinct())
-
+    """Published editions without a file, and files beyond one for each published edition."""
+    return R.set_difference(_editions(s, d).filter("publication_date is not null").select("edition_id"), table(s, d, "parse_snapshot").select("edition_id"))
 
 @query("""WITH b AS (SELECT p.source_series_key, p.created_at, p.snapshot_sha256 FROM parse_snapshot p JOIN source_edition e USING (edition_id) WHERE e.edition_identity_status_code = 'explicit'),
 c AS (SELECT source_series_key, max(created_at) AS m FROM b GROUP BY 1)
@@ -372,11 +383,10 @@ def observation_facets(s: SparkSession, d: str) -> DataFrame:
     return M.facet_totals(_observed(s, d), ["authority_key", "source_status_code", "resolution_readiness_code"])
 
 
-@query("""SELECT authority_key, source_status_code, count(*) AS n FROM entity_observation GROUP BY 1, 2""")
+@query("""SELECT *, round_even(100.0 * n / sum(n) OVER (PARTITION BY authority_key), 2) AS percent FROM (SELECT authority_key, source_status_code, count(*) AS n FROM entity_observation GROUP BY 1, 2)""")
 def status_counts(s: SparkSession, d: str) -> DataFrame:
-    """Statuses of each authority."""
-    return M.shares(_observed(s, d), ["authority_key"], "source_status_code").drop("percent")
-
+    """Statuses of each authority with their percentage."""
+    return M.shares(_observed(s, d), ["authority_key"], "source_status_code")
 
 @query("""SELECT CAST(b.m AS VARCHAR) AS bin, coalesce(c.n, 0) AS n FROM (SELECT CAST(unnest(generate_series(DATE '2019-01-01', DATE '2027-12-01', INTERVAL 1 MONTH)) AS DATE) AS m) b LEFT JOIN (SELECT CAST(date_trunc('month', publication_date) AS DATE) AS m, count(*) AS n FROM source_edition GROUP BY 1) c ON c.m = b.m""")
 def publications_by_month(s: SparkSession, d: str) -> DataFrame:
@@ -434,11 +444,12 @@ def review_wide(s: SparkSession, d: str) -> DataFrame:
     return M.pivoted(rows, ["review_batch"], "kind", "stratum_population", {"matched": ["matched"], "not_found": ["not_found"]})
 
 
-@query("""SELECT edition_id, 'edition_identity_status_code' AS field, edition_identity_status_code AS raw_value FROM source_edition UNION ALL SELECT edition_id, 'publication_date', CAST(publication_date AS VARCHAR) FROM source_edition UNION ALL SELECT edition_id, 'reference_from', CAST(reference_from AS VARCHAR) FROM source_edition""")
+@query("""SELECT edition_id, 'edition_identity_status_code' AS field, edition_identity_status_code AS raw_value, '{"value":' || coalesce('"' || edition_identity_status_code || '"', 'null') || '}' AS parsed_value FROM source_edition
+UNION ALL SELECT edition_id, 'publication_date', CAST(publication_date AS VARCHAR), '{"value":' || coalesce('"' || CAST(publication_date AS VARCHAR) || '"', 'null') || '}' FROM source_edition
+UNION ALL SELECT edition_id, 'reference_from', CAST(reference_from AS VARCHAR), '{"value":' || coalesce('"' || CAST(reference_from AS VARCHAR) || '"', 'null') || '}' FROM source_edition""")
 def edition_fields_long(s: SparkSession, d: str) -> DataFrame:
-    """Fields of editions as one row each."""
-    return M.unpivoted(_editions(s, d), ["edition_id"], ["edition_identity_status_code", "publication_date", "reference_from"]).drop("parsed_value")
-
+    """Fields of editions as one row each, as text and as JSON."""
+    return M.unpivoted(_editions(s, d), ["edition_id"], ["edition_identity_status_code", "publication_date", "reference_from"])
 
 @query("""SELECT count(*) AS n, count(DISTINCT source_series_key) AS n_source_series_key, count(DISTINCT edition_id) AS n_edition_id, CAST(min(publication_date) AS VARCHAR) AS first, CAST(max(publication_date) AS VARCHAR) AS last, CASE WHEN count(publication_date) = count(*) THEN CAST(max(publication_date) AS VARCHAR) END AS last_if_complete FROM source_edition""")
 def archive_figures(s: SparkSession, d: str) -> DataFrame:
@@ -486,11 +497,15 @@ def ambiguous_identifiers(s: SparkSession, d: str) -> DataFrame:
     return resolve.ambiguous_values(_named(s, d), "name", "value")
 
 
-@query(f"WITH {_NAMED}, a AS (SELECT v FROM n GROUP BY 1 HAVING count(DISTINCT nm) > 1), k AS (SELECT * FROM n WHERE v NOT IN (SELECT v FROM a)), g AS (SELECT nm, v, min(id) AS m FROM k GROUP BY 1, 2) SELECT n.id, coalesce(g.m, n.id) AS subject FROM n LEFT JOIN g ON g.nm = n.nm AND g.v = n.v")
+@query("""WITH RECURSIVE n AS (SELECT i.entity_observation_id AS id, o.source_name_normalised AS nm, i.normalised_value AS v, i.shape_code IN ('11_digit_numeric', '16_char_alphanumeric') AS strong FROM identifier_observation i JOIN entity_observation o USING (entity_observation_id)),
+am AS (SELECT v FROM n WHERE strong GROUP BY 1 HAVING count(DISTINCT nm) > 1), k AS (SELECT DISTINCT id, nm || chr(31) || v AS e FROM n WHERE strong AND v NOT IN (SELECT v FROM am)),
+r AS (SELECT id, id AS m FROM k UNION SELECT b.id, r.m FROM r JOIN k a ON a.id = r.id JOIN k b ON a.e = b.e), g AS (SELECT id, min(m) AS subject FROM r GROUP BY 1)
+SELECT DISTINCT n.id, g.subject FROM n LEFT JOIN g USING (id)""")
 def resolved_subjects(s: SparkSession, d: str) -> DataFrame:
-    """The subject of each identifier observation: observations of one name and one unambiguous identifier."""
-    return resolve.resolved(_named(s, d), "id", "name", "value")
-
+    """The subject of each observation with identifiers: observations of one name that share well-formed, unambiguous identifiers, also over several steps."""
+    ids = table(s, d, "identifier_observation").join(_observed(s, d).select("entity_observation_id", "source_name_normalised"), "entity_observation_id")
+    rows = ids.select(F.col("entity_observation_id").alias("id"), F.col("source_name_normalised").alias("name"), F.col("normalised_value").alias("value"), "shape_code")
+    return resolve.resolved(rows, "id", "name", "value", F.col("shape_code").isin("11_digit_numeric", "16_char_alphanumeric"))
 
 _LAST = "SELECT entry_id, arg_min(source_status_code, (observation_date, projected_at, entity_observation_id)) AS fs, arg_max(source_status_code, (observation_date, projected_at, entity_observation_id)) AS ls FROM entity_observation GROUP BY 1"
 
@@ -531,12 +546,12 @@ def status_edges(s: SparkSession, d: str) -> DataFrame:
     return supersede.edge_transitions(_monthly(s, d), "entry_id", "month", "state")
 
 
-@query("""SELECT parse_run_id FROM parse_snapshot GROUP BY 1 HAVING count(DISTINCT snapshot_sha256 || record_count) > 1""")
+@query("""SELECT edition_id FROM parse_snapshot WHERE edition_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT snapshot_sha256 || record_count) > 1""")
 def file_append_conflicts(s: SparkSession, d: str) -> DataFrame:
-    """Files delivered twice with other content."""
-    files = table(s, d, "parse_snapshot")
-    return supersede.append_conflicts(files.limit(0), files, ["parse_run_id"], ["snapshot_sha256", "record_count"])
-
+    """Editions whose files of one time can't be added to those of another, as the content differs."""
+    files = table(s, d, "parse_snapshot").filter("edition_id is not null")
+    early = F.col("created_at") < F.lit("2024-01-01").cast("timestamp")
+    return supersede.append_conflicts(files.filter(early), files.filter(~early), ["edition_id"], ["snapshot_sha256", "record_count"])
 
 @query("""SELECT edition_id, 'reference_period_holds_a_day' AS rule FROM source_edition WHERE reference_from >= reference_to UNION ALL SELECT edition_id, 'published_after_reference' FROM source_edition WHERE publication_date < reference_from UNION ALL SELECT edition_id, 'identity_is_explicit' FROM source_edition WHERE edition_identity_status_code <> 'explicit'""")
 def broken_edition_rules(s: SparkSession, d: str) -> DataFrame:
@@ -551,11 +566,10 @@ def repeated_entries(s: SparkSession, d: str) -> DataFrame:
     return validate.repeated_keys(_observed(s, d), ["edition_id", "entry_id"])
 
 
-@query("SELECT entity_observation_id, parse_run_id FROM entity_observation WHERE parse_run_id IS NOT NULL AND parse_run_id NOT IN (SELECT parse_run_id FROM parse_snapshot)")
-def rows_without_file(s: SparkSession, d: str) -> DataFrame:
-    """Rows that name a file that is not there."""
-    return validate.orphans(_observed(s, d), table(s, d, "parse_snapshot"), {"parse_run_id": "parse_run_id"}).select("entity_observation_id", "parse_run_id")
-
+@query("SELECT entity_observation_id, parse_run_id FROM entity_observation WHERE parse_run_id IS NOT NULL AND parse_run_id NOT IN (SELECT parse_run_id FROM parse_snapshot WHERE record_count >= 5)")
+def rows_without_usable_file(s: SparkSession, d: str) -> DataFrame:
+    """Rows that name a file that is not among those with five records or more."""
+    return validate.orphans(_observed(s, d), table(s, d, "parse_snapshot").filter("record_count >= 5"), {"parse_run_id": "parse_run_id"}).select("entity_observation_id", "parse_run_id")
 
 @query("SELECT source_status_code, count(*) AS n FROM entity_observation WHERE source_status_code NOT IN ('listed', 'pending', 'renewal_requested', 'renewal_update_in_progress', 'rejected_or_denied') GROUP BY 1")
 def unlisted_status_codes(s: SparkSession, d: str) -> DataFrame:
@@ -563,12 +577,12 @@ def unlisted_status_codes(s: SparkSession, d: str) -> DataFrame:
     return validate.unknown_codes(_observed(s, d), "source_status_code", ["listed", "pending", "renewal_requested", "renewal_update_in_progress", "rejected_or_denied"])
 
 
-@query("SELECT o.entity_observation_id FROM entity_observation o JOIN source_edition e USING (edition_id) JOIN source_series s USING (source_series_key) WHERE o.authority_key IS DISTINCT FROM s.authority_key")
-def rows_of_another_authority(s: SparkSession, d: str) -> DataFrame:
-    """Rows whose authority is not their series'."""
-    parents = _editions(s, d).select("edition_id", "source_series_key").join(table(s, d, "source_series").select("source_series_key", "authority_key"), "source_series_key")
-    return validate.mismatched(_observed(s, d), parents, ["edition_id"], "authority_key").select("entity_observation_id")
-
+@query("SELECT p.parse_run_id FROM parse_snapshot p JOIN (SELECT edition_id, CAST(max(publication_date) AS VARCHAR) AS day FROM source_edition GROUP BY 1) e USING (edition_id) WHERE CAST(CAST(p.created_at AS DATE) AS VARCHAR) IS DISTINCT FROM e.day")
+def files_not_made_when_published(s: SparkSession, d: str) -> DataFrame:
+    """Files not made on the day their edition was published; an edition without a day differs from any."""
+    parents = _editions(s, d).groupBy("edition_id").agg(F.max("publication_date").cast("string").alias("day"))
+    files = table(s, d, "parse_snapshot").select("parse_run_id", "edition_id", F.to_date("created_at").cast("string").alias("day"))
+    return validate.mismatched(files, parents, ["edition_id"], "day").select("parse_run_id")
 
 @query("""WITH f AS (SELECT edition_id, max(record_count) AS x FROM parse_snapshot GROUP BY 1), o AS (SELECT edition_id, count(*) AS n FROM entity_observation GROUP BY 1)
 SELECT edition_id, CAST(f.x AS BIGINT) AS expected, coalesce(o.n, 0) AS found FROM f FULL OUTER JOIN o USING (edition_id) WHERE f.x IS DISTINCT FROM coalesce(o.n, 0)""")
@@ -600,30 +614,34 @@ def normalised_names(s: SparkSession, d: str) -> DataFrame:
     return _observed(s, d).select("entity_observation_id", normalised_name(F.col("source_name_raw")).alias("name"), folded(F.col("source_name_raw")).alias("folded"))
 
 
-@query()
+_CIVIC = r"""t AS (SELECT address_id, trim(concat_ws(', ', review_street, review_civic)) AS t FROM address_review WHERE review_street IS NOT NULL),
+p AS (SELECT *, regexp_matches(t, '(?i)(\bs\s*\.?\s*n\s*\.?\s*c\s*\.?|\bs\s*\.?\s*n\s*\.?)\s*$') AS none, regexp_extract(t, '^(.*?)(?:,\s*|\s+)(\d{1,5})(?:\s*[/-]\s*([A-Za-z]))?\s*$', 1) AS st,
+        regexp_extract(t, '^(.*?)(?:,\s*|\s+)(\d{1,5})(?:\s*[/-]\s*([A-Za-z]))?\s*$', 2) AS no, regexp_extract(t, '^(.*?)(?:,\s*|\s+)(\d{1,5})(?:\s*[/-]\s*([A-Za-z]))?\s*$', 3) AS sx FROM t),
+q AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN none THEN 'explicit_no_civic' WHEN no = '' THEN 'no_confident_terminal_civic'
+        WHEN regexp_matches(regexp_replace(regexp_replace(lower(st), '[^\p{L}\p{N}]+', ' ', 'g'), ' $', ''), '(^| )(ss|sp|s s|s p|strada statale|strada provinciale|km)$') THEN 'terminal_number_is_route_number' ELSE 'civic' END AS status FROM p)"""
+
+
+@query(f"""WITH {_CIVIC} SELECT address_id, regexp_replace(CASE WHEN status = 'explicit_no_civic' THEN regexp_replace(t, '(?i)(\\bs\\s*\\.?\\s*n\\s*\\.?\\s*c\\s*\\.?|\\bs\\s*\\.?\\s*n\\s*\\.?)\\s*$', '') WHEN status = 'civic' THEN st ELSE t || chr(31) END, '[ ,;-]+$|' || chr(31), '') AS street, status,
+  CASE WHEN status = 'civic' THEN CAST(CAST(no AS INT) AS VARCHAR) END AS number, CASE WHEN status = 'civic' THEN nullif(upper(sx), '') END AS suffix FROM q""")
 def street_civics(s: SparkSession, d: str) -> DataFrame:
     """Reviewed streets with their number taken apart."""
     rows = table(s, d, "address_review").filter("review_street is not null")
-    parts = street_and_civic(F.concat_ws(", ", "review_street", "review_civic"))
-    return rows.select("address_id", parts.alias("p"), number_key(F.col("review_civic")).alias("civic_key")).select("address_id", "p.*", "civic_key")
+    return rows.select("address_id", street_and_civic(F.concat_ws(", ", "review_street", "review_civic")).alias("p")).select("address_id", "p.*")
 
-
-@query("""SELECT authority_key, count(*) FILTER (source_status_code = 'listed') AS listed, count(*) AS n FROM entity_observation GROUP BY 1""")
+@query("""SELECT authority_key, listed, n, round_even(100.0 * listed / n, 2) AS percent FROM (SELECT authority_key, count(*) FILTER (source_status_code = 'listed') AS listed, count(*) AS n FROM entity_observation GROUP BY 1)""")
 def listed_per_authority(s: SparkSession, d: str) -> DataFrame:
-    """Listed rows of each authority."""
+    """Listed rows of each authority and their percentage."""
     out = _observed(s, d).groupBy("authority_key").agg(F.count_if(F.col("source_status_code") == "listed").alias("listed"), F.count("*").alias("n"))
-    return out.withColumn("percent", percent(F.col("listed"), F.col("n"))).drop("percent")
-
+    return out.withColumn("percent", percent(F.col("listed"), F.col("n")))
 
-@query("""SELECT a.entry_id, a.n_identifiers, b.n_offices FROM (SELECT o.entry_id, count(*) AS n_identifiers FROM identifier_observation i JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) a
-FULL OUTER JOIN (SELECT o.entry_id, count(*) AS n_offices FROM establishment_observation e JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) b ON a.entry_id = b.entry_id WHERE a.entry_id IS NOT NULL""")
+@query("""SELECT coalesce(a.entry_id, b.entry_id) AS entry_id, coalesce(a.n, 0) AS n_identifiers, coalesce(b.n, 0) AS n_offices FROM (SELECT o.entry_id, count(*) AS n FROM identifier_observation i JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) a
+FULL OUTER JOIN (SELECT o.entry_id, count(*) AS n FROM establishment_observation e JOIN entity_observation o USING (entity_observation_id) GROUP BY 1) b ON a.entry_id = b.entry_id""")
 def entry_lineage(s: SparkSession, d: str) -> DataFrame:
-    """Identifiers and offices of entries, led back over the rows that name them."""
+    """Identifiers and offices of entries, led back over the rows that name them; an entry with only one of them is there too."""
     rows = _observed(s, d).select("entity_observation_id", "entry_id")
     ids = table(s, d, "identifier_observation").join(rows, "entity_observation_id").groupBy("entry_id").agg(F.count("*").alias("n_identifiers"))
     offices = table(s, d, "establishment_observation").join(rows, "entity_observation_id").groupBy("entry_id").agg(F.count("*").alias("n_offices"))
-    return ids.join(offices, "entry_id", "left").select("entry_id", "n_identifiers", "n_offices")
-
+    return ids.join(offices, "entry_id", "full_outer").select("entry_id", F.coalesce("n_identifiers", F.lit(0)).alias("n_identifiers"), F.coalesce("n_offices", F.lit(0)).alias("n_offices"))
 
 @query("""SELECT parse_run_id FROM (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY created_at DESC, snapshot_sha256 DESC) AS k FROM parse_snapshot WHERE record_count >= 5 AND edition_id IS NOT NULL) WHERE k = 1""")
 def newest_usable_files(s: SparkSession, d: str) -> DataFrame:
@@ -634,12 +652,11 @@ def newest_usable_files(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT coalesce(m.edition_id, o.edition_id) AS edition_id, CASE WHEN o.edition_id IS NULL THEN 'missing' WHEN m.edition_id IS NULL THEN 'unexpected' ELSE 'different' END AS fault
-FROM (SELECT edition_id, CAST(max(record_count) AS BIGINT) AS n FROM parse_snapshot GROUP BY 1) m FULL OUTER JOIN (SELECT edition_id, count(DISTINCT entry_id) AS n FROM entity_observation GROUP BY 1) o USING (edition_id) WHERE m.n IS DISTINCT FROM o.n""")
+FROM (SELECT edition_id, CAST(max(record_count) AS BIGINT) AS n FROM parse_snapshot WHERE record_count >= 5 GROUP BY 1) m FULL OUTER JOIN (SELECT edition_id, count(*) AS n FROM entity_observation GROUP BY 1) o USING (edition_id) WHERE m.n IS DISTINCT FROM o.n""")
 def unmatched_editions(s: SparkSession, d: str) -> DataFrame:
-    """Editions whose files and observations don't name as many entries."""
-    files = table(s, d, "parse_snapshot").groupBy("edition_id").agg(F.max("record_count").cast("bigint").alias("n"))
-    return validate.unmatched(files, _observed(s, d).groupBy("edition_id").agg(F.count_distinct("entry_id").alias("n")), ["edition_id"], ["n"])
-
+    """Editions whose usable files and observations don't have as many rows."""
+    files = table(s, d, "parse_snapshot").filter("record_count >= 5").groupBy("edition_id").agg(F.max("record_count").cast("bigint").alias("n"))
+    return validate.unmatched(files, _observed(s, d).groupBy("edition_id").agg(F.count("*").alias("n")), ["edition_id"], ["n"])
 
 @query("""SELECT source_hint, regexp_replace(regexp_replace(regexp_replace(raw_value, '\\p{L}+', 'A', 'g'), '\\p{N}+', '9', 'g'), '\\s+', ' ', 'g') AS shape, count(*) AS n FROM identifier_observation GROUP BY 1, 2""")
 def identifier_shape_profile(s: SparkSession, d: str) -> DataFrame:
@@ -654,12 +671,76 @@ def listed_brothers(s: SparkSession, d: str) -> DataFrame:
     return _observed(s, d).filter(wanted).select("entity_observation_id")
 
 
-@query()
+_TYPES = "|".join(p for p, _ in geo.ROAD_TYPES)
+_KINDS = "CASE k " + " ".join(f"WHEN '{p}' THEN '{t}'" for p, t in geo.ROAD_TYPES) + " ELSE 'unspecified' END"
+
+
+def _keyed(source: str) -> str:
+    """SQL of rows with the key ``key`` of their street ``street``; other columns stay."""
+    spelt = "array_to_string(regexp_extract_all(lower(strip_accents(street)), '[\\p{L}\\p{N}]+'), ' ')"
+    pattern = f"'^(?:({_TYPES})(?: |$))?(.*)$'"
+    parts = f"SELECT *, regexp_extract({spelt}, {pattern}, 1) AS k, regexp_extract({spelt}, {pattern}, 2) AS w FROM {source}"
+    return f"SELECT * EXCLUDE (k, w), CASE WHEN w = '' THEN '' ELSE {_KINDS} || '|' || w END AS key FROM ({parts})"
+
+
+@query(f"SELECT address_id, key AS street_key FROM ({_keyed('(SELECT address_id, review_street AS street FROM address_review WHERE review_street IS NOT NULL)')})")
 def reviewed_street_keys(s: SparkSession, d: str) -> DataFrame:
     """Reviewed streets with their key for exact linkage."""
     return table(s, d, "address_review").filter("review_street is not null").select("address_id", geo.street_key(F.col("review_street")).alias("street_key"))
 
 
+@query(f"""WITH {_CIVIC}, c AS (SELECT q.address_id, r.review_municipality AS municipality_code, regexp_replace(CASE WHEN status = 'explicit_no_civic' THEN regexp_replace(t, '(?i)(\\bs\\s*\\.?\\s*n\\s*\\.?\\s*c\\s*\\.?|\\bs\\s*\\.?\\s*n\\s*\\.?)\\s*$', '') WHEN status = 'civic' THEN st ELSE t || chr(31) END, '[ ,;-]+$|' || chr(31), '') AS street,
+    CASE WHEN status = 'civic' THEN CAST(CAST(no AS INT) AS VARCHAR) || coalesce('/' || nullif(upper(sx), ''), '') END AS civic FROM q JOIN address_review r USING (address_id)),
+a AS ({_keyed('c')}),
+f AS ({_keyed("(SELECT review_municipality AS municipality_code, review_street AS street, review_batch AS street_id, upper(regexp_replace(trim(review_civic), '^0+(\\d)', '\\1')) AS civic, CAST(address_id % 90 AS DOUBLE) AS lat, CAST(address_id % 180 AS DOUBLE) AS lon FROM address_review WHERE review_street IS NOT NULL)")}),
+s AS (SELECT municipality_code, key, count(DISTINCT street_id) AS n, median(lat) AS lat, median(lon) AS lon FROM f WHERE key <> '' GROUP BY 1, 2),
+x AS (SELECT municipality_code, key, civic, count(DISTINCT (lat, lon)) AS n, min(lat) AS lat, min(lon) AS lon FROM f WHERE key <> '' AND civic IS NOT NULL GROUP BY 1, 2, 3),
+z AS (SELECT a.address_id, CASE WHEN s.n IS NULL THEN 'no_street' WHEN s.n > 1 THEN 'ambiguous_street' WHEN x.n = 1 THEN 'civic' WHEN x.n > 1 THEN 'ambiguous_civic' ELSE 'street_only' END AS status, s.lat AS slat, s.lon AS slon, x.lat AS clat, x.lon AS clon
+      FROM a LEFT JOIN s ON s.municipality_code = a.municipality_code AND s.key = a.key LEFT JOIN x ON x.municipality_code = a.municipality_code AND x.key = a.key AND x.civic = a.civic)
+SELECT address_id, status, CASE status WHEN 'civic' THEN clat WHEN 'street_only' THEN slat END AS latitude, CASE status WHEN 'civic' THEN clon WHEN 'street_only' THEN slon END AS longitude FROM z""")
+def linked_reviews(s: SparkSession, d: str) -> DataFrame:
+    """Reviewed addresses linked exactly to the streets and numbers of all reviews, each batch taken as a street of its own, at made-up places."""
+    rows = table(s, d, "address_review").filter("review_street is not null")
+    asked = rows.select("address_id", F.col("review_municipality").alias("municipality_code"), F.concat_ws(", ", "review_street", "review_civic").alias("street"))
+    reference = rows.select(F.col("review_municipality").alias("municipality_code"), F.col("review_street").alias("street"), F.col("review_batch").alias("street_id"), F.col("review_civic").alias("civic"), (F.col("address_id") % 90).cast("double").alias("latitude"), (F.col("address_id") % 180).cast("double").alias("longitude"))
+    return geo.linked_to_reference(asked, reference)
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY source_series_key ORDER BY created_at DESC) AS k, max(created_at) OVER (PARTITION BY source_series_key) AS newest FROM parse_snapshot)
+SELECT source_series_key, CASE WHEN count(DISTINCT (snapshot_sha256, record_count)) = 1 THEN min(parse_run_id) END AS parse_run_id, CASE WHEN count(DISTINCT (snapshot_sha256, record_count)) = 1 THEN 'selected' ELSE 'ambiguous' END AS state FROM r WHERE created_at = newest GROUP BY 1""")
+def newest_files(s: SparkSession, d: str) -> DataFrame:
+    """The newest file of each series, if its content is certain."""
+    return project.newest_frozen(table(s, d, "parse_snapshot"), ["source_series_key"], "created_at", ["snapshot_sha256", "record_count"], "parse_run_id")
+
+
+@query("""WITH x AS (SELECT source_series_key AS k, count(*) AS n, sum(record_count) AS m, CAST(max(created_at) AS DATE) AS l FROM parse_snapshot GROUP BY 1), s AS (SELECT source_series_key AS k, CAST(created_at AS DATE) AS l FROM source_series)
+SELECT s.k AS source_series_key, CAST(CASE WHEN x.l > s.l THEN x.l ELSE s.l END AS VARCHAR) AS latest, coalesce(x.n, 0) AS sources_selected, CAST(coalesce(x.m, 0) AS BIGINT) AS amount_selected FROM s LEFT JOIN x USING (k)""")
+def monitored_series(s: SparkSession, d: str) -> DataFrame:
+    """The monitoring state of every series brought up to its files."""
+    state = table(s, d, "source_series").select("source_series_key", F.to_date("created_at").alias("latest"))
+    files = table(s, d, "parse_snapshot").select("source_series_key", F.to_date("created_at").alias("day"), "record_count")
+    return project.synchronised(state, files, ["source_series_key"], "day", "record_count", "latest").withColumn("latest", F.col("latest").cast("string"))
+
+
+@query("""WITH r AS (SELECT source_series_key AS k, bool_and(coalesce(publication_date IS NOT NULL, false)) AS c FROM source_edition GROUP BY 1)
+SELECT s.source_series_key, coalesce(r.c, false) AS complete, CASE WHEN r.c THEN 'scope' ELSE 'population,scope' END AS issues FROM source_series s LEFT JOIN r ON r.k = s.source_series_key""")
+def reconciled_series(s: SparkSession, d: str) -> DataFrame:
+    """The open issues of every series after a report on its editions."""
+    state = table(s, d, "source_series").select("source_series_key", F.lit(False).alias("complete"), F.array(F.lit("population"), F.lit("scope")).alias("issues"))
+    report = _editions(s, d).select("source_series_key", F.col("publication_date").isNotNull().alias("complete"))
+    return project.reconciled(state, report, ["source_series_key"], "complete", "issues", "population").withColumn("issues", F.array_join("issues", ","))
+
+
+@query("""WITH l AS (SELECT entry_id, arg_max(source_status_code, (observation_date, projected_at, entity_observation_id)) AS st, bool_or(source_status_code = 'rejected_or_denied') AS bad, bool_or(source_status_code = 'listed') AS good FROM entity_observation GROUP BY 1)
+SELECT entry_id, CASE WHEN st = 'pending' OR (st = 'renewal_requested' AND bad AND NOT good) THEN NULL ELSE '2026-01-01' END AS valid_to FROM l""")
+def expired_requests(s: SparkSession, d: str) -> DataFrame:
+    """One open request per entry, closed unless its newest status asks for one always, or after a refusal without any listing."""
+    rows = _observed(s, d)
+    newest = rows.groupBy("entry_id").agg(F.max_by("source_status_code", F.struct("observation_date", "projected_at", "entity_observation_id")).alias("st"))
+    wanted = supersede.unserved(newest, F.col("st") == "pending", F.col("st") == "renewal_requested", rows, ["entry_id"], F.col("source_status_code") == "rejected_or_denied", F.col("source_status_code") == "listed")
+    open_ = newest.select("entry_id", F.lit(None).cast("date").alias("valid_to"))
+    return supersede.expired(open_, wanted, ["entry_id"], F.lit("2026-01-01").cast("date")).withColumn("valid_to", F.col("valid_to").cast("string"))
+
 @query()
 def projected_identifiers(s: SparkSession, d: str) -> DataFrame:
     """Identifier observations projected from observed rows with keys that are the same in every run."""

@@ -36,19 +36,18 @@ def _lines(s: SparkSession, d: str) -> DataFrame:
 _LINES = "l AS (SELECT doc_id, unnest(generate_series(0, len(x) - 1)) AS line, unnest(x) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))"
 
 
-@query("""SELECT identifier_observation_id, regexp_full_match(upper(regexp_replace(raw_value, '[^A-Za-z0-9]', '', 'g')), '[0-9]{11}|[A-Z0-9]{16}') AND NOT regexp_matches(trim(raw_value), '[\\s·;,]') AS whole FROM identifier_observation""")
+@query("""WITH p AS (SELECT identifier_observation_id, regexp_extract_all(upper(regexp_replace(raw_value, '[^A-Za-z0-9\\s·;,]', '', 'g')), '[A-Z0-9]+') AS w FROM identifier_observation),
+g AS (SELECT identifier_observation_id, list_filter(w, lambda x: regexp_full_match(x, '[0-9]{11}|[A-Z0-9]{16}')) AS i FROM p)
+SELECT identifier_observation_id, array_to_string(list_filter(i, lambda x, n: list_position(i, x) = n), ' ') AS found FROM g""")
 def whole_identifiers(s: SparkSession, d: str) -> DataFrame:
-    """Whether each field is one well-formed identifier."""
-    found = identifiers(F.col("raw_value"))
-    alone = ~F.trim("raw_value").rlike(r"[\s·;,]")
-    return table(s, d, "identifier_observation").select("identifier_observation_id", ((F.size(found) == 1) & alone).alias("whole"))
+    """The well-formed identifiers of each field in order, once each."""
+    return table(s, d, "identifier_observation").select("identifier_observation_id", F.array_join(identifiers(F.col("raw_value")), " ").alias("found"))
 
-
-@query("""SELECT doc_id, len(regexp_extract_all(text, '\\b[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\\b')) AS dates FROM documents""")
+@query("""SELECT doc_id, array_to_string(regexp_extract_all(text, '\\b[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\\b'), ' ') AS dates, len(regexp_extract_all(text, '\\([0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\\)')) AS parenthesised FROM documents""")
 def document_dates(s: SparkSession, d: str) -> DataFrame:
-    """How many day/month/year dates each document names."""
-    return table(s, d, "documents").select("doc_id", F.size(date_list(F.col("text"))).cast("bigint").alias("dates"))
-
+    """The day/month/year dates each document names as written, and how many stand in parentheses."""
+    found = date_list(F.col("text"))
+    return table(s, d, "documents").select("doc_id", F.array_join(F.transform(found, lambda x: x["raw"]), " ").alias("dates"), F.size(F.filter(found, lambda x: x["parenthesised"])).cast("bigint").alias("parenthesised"))
 
 @query("""SELECT doc_id, CASE WHEN len(x) = 1 THEN CAST(x[1] AS VARCHAR) END AS day FROM (SELECT doc_id, list_distinct([CAST(try_strptime(y, '%d/%m/%Y') AS DATE) FOR y IN regexp_extract_all(text, '\\b[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\\b')]) AS x FROM documents)""")
 def single_slash_dates(s: SparkSession, d: str) -> DataFrame:
@@ -132,17 +131,21 @@ def file_records(s: SparkSession, d: str) -> DataFrame:
     return records.select("parse_run_id", "position", "entry_id", F.explode("fields").alias("label", "cell")).select("parse_run_id", "position", "entry_id", "label", "cell.*")
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+i AS (SELECT doc_id, line, unnest(regexp_split_to_array(trim(regexp_replace(t, '[\\s\\x{00A0}]+', ' ', 'g')), '\\s*•\\s*|\\s+-\\s+')) AS item FROM l)
+SELECT * FROM i WHERE item <> ''""")
 def list_items(s: SparkSession, d: str) -> DataFrame:
     """Items of lines that list several with dashes."""
     return _lines(s, d).select("doc_id", "line", F.explode(items(F.col("text"))).alias("item"))
 
 
-@query()
+@query("""WITH t AS (SELECT identifier_observation_id, upper(regexp_replace(raw_value, '\\s', '', 'g')) AS v FROM identifier_observation)
+SELECT identifier_observation_id, v AS raw_value, CASE WHEN regexp_full_match(v, '[0-9]{11}') THEN '11_digit_numeric' WHEN regexp_full_match(v, '[0-9]+') THEN 'numeric_' || length(v) || '_digits' WHEN regexp_full_match(v, '[A-Z0-9]{16}') THEN '16_char_alphanumeric' WHEN regexp_full_match(v, '[A-Z0-9]+') THEN 'unparsed_alphanumeric' ELSE 'unparsed' END AS shape,
+  CASE WHEN regexp_full_match(v, '[0-9]{11}') THEN 'UNRESOLVED_CF_OR_VAT' WHEN regexp_full_match(v, '[A-Z0-9]{16}') AND NOT regexp_full_match(v, '[0-9]+') THEN 'IT_CF_CANDIDATE' ELSE 'UNKNOWN' END AS scheme_assertion FROM t WHERE v NOT IN ('', 'CF', 'C.F', 'C.F.')""")
 def identifier_shapes(s: SparkSession, d: str) -> DataFrame:
-    """Identifiers of fields with their shape and hint."""
-    return table(s, d, "identifier_observation").select("identifier_observation_id", F.explode(shaped_identifiers(F.col("raw_value"))).alias("i")).select("identifier_observation_id", "i.*")
-
+    """Identifiers of fields with their shape and what scheme they may be of."""
+    rows = table(s, d, "identifier_observation").select("identifier_observation_id", F.explode(shaped_identifiers(F.col("raw_value"))).alias("i"))
+    return rows.select("identifier_observation_id", "i.raw_value", "i.shape", "i.scheme_assertion")
 
 @query()
 def address_word_spans(s: SparkSession, d: str) -> DataFrame:

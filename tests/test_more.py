@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tabularium.functions import filters
 from tabularium.functions.scalars import canonical_bytes
-from tabularium.operators import geo, project, validate
+from tabularium.operators import extract, geo, project, validate
+from tabularium.sinks import tables as sink
 from tabularium.sources import fetch
 
 
@@ -53,9 +54,9 @@ def test_filters(spark):
 
 
 def test_reference_linkage(spark):
-    ref = [("M", "VIA ROMA", 1, "1", 45.0, 9.0), ("M", "VIA ROMA", 1, "3", 45.2, 9.2), ("M", "VIA ROMA", 1, "003", 45.2, 9.2), ("M", "Viale Po", 2, "1", 1.0, 1.0), ("M", "V.le Po", 3, "1", 2.0, 2.0), ("M", "CORSO RE", 4, "7/B", 5.0, 5.0), ("M", "CORSO RE", 4, "8", 6.0, 6.0), ("M", "CORSO RE", 4, "8", 7.0, 7.0)]
+    ref = [("M", "VIA ROMA", 1, "1", 45.0, 9.0), ("M", "VIA ROMA", 1, "3", 45.2, 9.2), ("M", "VIA ROMA", 1, "003", 45.2, 9.2), ("M", "Viale Po", 2, "1", 1.0, 1.0), ("M", "VIALE PÓ", 3, "1", 2.0, 2.0), ("M", "CORSO RE", 4, "7/B", 5.0, 5.0), ("M", "CORSO RE", 4, "8", 6.0, 6.0), ("M", "CORSO RE", 4, "8", 7.0, 7.0)]
     reference = spark.createDataFrame(ref, "municipality_code string, street string, street_id int, civic string, latitude double, longitude double")
-    addresses = spark.createDataFrame([(1, "M", "V. Roma, 3"), (2, "M", "Via Roma snc"), (3, "M", "viale po 1"), (4, "M", "Via Ignota 1"), (5, "N", "Via Roma 1"), (6, "M", "C.so Re 7/b"), (7, "M", "Corso Re 8"), (8, "M", None)], "address_id int, municipality_code string, street string")
+    addresses = spark.createDataFrame([(1, "M", "Via Roma, 03"), (2, "M", "Via Roma snc"), (3, "M", "viale po 1"), (4, "M", "Via Ignota 1"), (5, "N", "Via Roma 1"), (6, "M", "Corso Ré 7/b"), (7, "M", "Corso Re 8"), (8, "M", None)], "address_id int, municipality_code string, street string")
     got = {r["address_id"]: (r["status"], r["latitude"]) for r in geo.linked_to_reference(addresses, reference).collect()}
     assert got == {1: ("civic", 45.2), 2: ("street_only", 45.2), 3: ("ambiguous_street", None), 4: ("no_street", None), 5: ("no_street", None), 6: ("civic", 5.0), 7: ("ambiguous_civic", None), 8: ("no_street", None)}
 
@@ -101,3 +102,47 @@ def test_more_validation(spark):
     docs = spark.createDataFrame([(1, '{"b":2, "a":1}', digest), (2, '{"a":2}', digest), (3, "{", digest)], "k int, t string, d string")
     assert rows(validate.damaged_documents(docs, "k", "t", "d")) == {(2,), (3,)}
     assert rows(validate.shape_profile(docs, [], "t").filter("n > 1")) == set()
+
+
+def test_street_keys(spark):
+    keys = {"Via Roma": "via|roma", "Piazza Roma": "piazza|roma", "C/da Padula": "contrada|padula", "S.S. 18": "ss|18", "MÜLLERSTRASSE": "unspecified|mullerstrasse", "Frazione São": "frazione|sao", "strada statale 1": "ss|1", "Strada Alta": "strada|alta", "Via": "", "V. Roma": "unspecified|v roma", "ул. Мира": "unspecified|ул мира", "Straße": "unspecified|strasse"}
+    got = spark.createDataFrame([(k,) for k in (*keys, None, " ")], "s string").select("s", geo.street_key(F.col("s")).alias("k")).collect()
+    assert {r["s"]: r["k"] for r in got} == {**keys, None: "", " ": ""}
+
+
+def test_monitoring_and_receipts(spark):
+    state = spark.createDataFrame([("a", "2020-05-01", False, ["x", "y"]), ("b", None, True, ["x"]), ("c", "2020-01-01", False, None)], "k string, latest string, complete boolean, issues array<string>")
+    sources = spark.createDataFrame([("a", "2020-04-01", 3), ("a", None, 4), ("b", "2020-02-02", 1), ("z", "2021-01-01", 9)], "k string, day string, n int")
+    assert {tuple(r)[:2] + tuple(r)[4:] for r in project.synchronised(state, sources, ["k"], "day", "n", "latest").collect()} == {("a", "2020-05-01", 2, 7), ("b", "2020-02-02", 1, 1), ("c", "2020-01-01", 0, 0)}
+    report = spark.createDataFrame([("a", True), ("a", True), ("b", None)], "k string, complete boolean")
+    got = {r["k"]: (r["complete"], r["issues"]) for r in project.reconciled(state, report, ["k"], "complete", "issues", "x").collect()}
+    assert got == {"a": (True, ["y"]), "b": (False, ["x"]), "c": (False, None)}
+    shown = project.receipt(state.withColumn("secret", F.lit("s")), ["k", "absent"], {"done": F.col("complete"), "stored": F.col("latest") > "2020-04"})
+    assert shown.columns == ["k", "absent", "done", "stored"] and rows(shown) == {("a", None, False, True), ("b", None, True, False), ("c", None, False, False)}
+    captures = spark.createDataFrame([("a", 1, "d", "q1"), ("a", 2, "e", "q3"), ("a", 2, "e", "q2"), ("b", 1, "d", "q"), ("b", 1, "f", "r")], "k string, at int, digest string, id string")
+    assert rows(project.newest_frozen(captures, ["k"], "at", ["digest"], "id")) == {("a", "q2", "selected"), ("b", None, "ambiguous")}
+    revisions = spark.createDataFrame([(1, '{"rows":[{"k":"a","v":1},{"k":"b","v":1}]}'), (2, "{"), (3, '{"rows":[{"k":"a","v":2},{"k":"c"}]}')], "n int, state string")
+    assert {(r["n"], r["k"], r["change"]) for r in project.state_history(revisions, "n", "state", "rows", "k").collect()} == {(1, "a", "added"), (1, "b", "added"), (3, "a", "changed"), (3, "b", "removed"), (3, "c", "added")}
+
+
+def test_objects_and_bundles(spark, tmp_path):
+    files = spark.createDataFrame([(bytearray(b"one"),), (bytearray(b"two"),), (bytearray(b"one"),), (None,)], "content binary")
+    store = str(tmp_path / "store")
+    assert [r["created"] for r in sink.archived_objects(files, store).collect()] == [True, True]
+    again = sink.archived_objects(files.union(spark.createDataFrame([(bytearray(b"three"),)], "content binary")), store).collect()
+    assert sorted((r["byte_size"], r["created"], r["verified"]) for r in again) == [(3, False, True), (3, False, True), (5, True, True)]
+    assert spark.read.parquet(store).count() == 3
+    bundle = str(tmp_path / "bundle")
+    table = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    assert sink.exported_bundle({"t": table, "empty": table.limit(0)}, bundle).count() == 2
+    back = sink.restored_bundle(spark, bundle)
+    assert rows(back["t"]) == {(1, "x"), (2, None)} and back["empty"].count() == 0
+    table.limit(1).write.mode("overwrite").parquet(f"{bundle}/t")
+    with pytest.raises(ValueError, match="t is not"):
+        sink.restored_bundle(spark, bundle)
+
+
+def test_sectors_of_one_list(spark):
+    t = spark.createDataFrame([("a", "1/1/2020", 1, "s1"), ("a", "01/01/2020", 2, "s2"), ("a", "soon", 3, "s3"), ("a", None, 4, "s1")], "k string, raw string, n int, sector string")
+    got = extract.reconstructed(t, ["k"], F.try_to_date("raw", "d/M/yyyy"), F.col("raw"), "n", "sector").collect()
+    assert {(r["date_key"], tuple(r["items"])) for r in got} == {("2020-01-01", ("s1", "s2")), ("RAW:soon", ("s3",)), ("RAW:", ("s1",))}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tabularium.operators import editions as E
-from tabularium.operators import extract, resolve, sampling, supersede, validate
+from tabularium.operators import extract, ordering, resolve, sampling, supersede, validate
 from tabularium.operators import metrics as M
 from tabularium.operators import relations as R
 from tabularium.operators.components import components
@@ -160,7 +160,9 @@ def test_allocation_and_sample(spark):
 
 def test_resolution_links_only_unambiguous_identifiers(spark):
     t = spark.createDataFrame([(1, "A", "x"), (2, "A", "x"), (3, "B", "y"), (4, "C", "y"), (5, "A", "z"), (2, "A", "z"), (6, "A", None), (7, None, "q")], "id bigint, name string, ident string")
-    assert rows(resolve.resolved(t, "id", "name", "ident")) == {(1, 1), (2, 1), (5, 1), (3, 3), (4, 4), (6, 6), (7, 7)}
+    assert rows(resolve.resolved(t, "id", "name", "ident")) == {(1, 1), (2, 1), (5, 1), (3, None), (4, None), (6, None), (7, None)}
+    chain = spark.createDataFrame([(n, "A", f"v{v}") for n in range(1, 30) for v in (n, n + 1)] + [(90, "A", "w")], "id bigint, name string, ident string")
+    assert rows(resolve.resolved(chain, "id", "name", "ident", F.col("ident") != "w")) == {(n, 1) for n in range(1, 30)} | {(90, None)}
     assert rows(resolve.ambiguous_values(t, "name", "ident")) == {("y",)}
 
 
@@ -173,6 +175,46 @@ def test_supersession_is_idempotent(spark):
     assert rows(supersede.superseded(once, desired, ["k"], ["v"], later)) == rows(once)
 
 
+def test_expiry_keeps_what_is_still_asked_for(spark):
+    routes = spark.createDataFrame([("a", "always"), ("b", "second"), ("c", "second"), ("d", "none"), ("e", "second")], "k string, route string")
+    results = spark.createDataFrame([("b", "failed"), ("c", "failed"), ("c", "good")], "k string, status string")
+    wanted = supersede.unserved(routes, F.col("route") == "always", F.col("route") == "second", results, ["k"], F.col("status") == "failed", F.col("status") == "good")
+    assert rows(wanted) == {("a",), ("b",)}
+    current = spark.createDataFrame([(k, stage, None) for k in "abcde" for stage in ("second",)] + [("d", "first", None), ("e", "second", day(0)), (None, "second", None)], "k string, stage string, valid_to date")
+    got = rows(supersede.expired(current, wanted, ["k"], F.lit(day(5)), F.col("stage") == "second"))
+    assert got == {("a", "second", None), ("b", "second", None), ("c", "second", day(5)), ("d", "second", day(5)), ("e", "second", day(5)), ("d", "first", None), ("e", "second", day(0)), (None, "second", day(5))}
+
+
+def test_range_joins_equal_brute_force(spark):
+    r = random.Random(2)
+    when = lambda: None if r.random() < 0.15 else day(r.randrange(400))
+    periods = [(n, r.choice("aab"), when(), when(), when(), when()) for n in range(120)]
+    facts = [(n, r.choice("abc"), when()) for n in range(150)]
+    p = spark.createDataFrame(periods, "id int, k string, f date, t date, g date, u date")
+    inside = lambda a, f, t: a is not None and (f is None or f <= a) and (t is None or a < t)
+    got = R.join_in_period(spark.createDataFrame(facts, "n int, k string, at date"), p, ["k"], "at", "f", "t").select("n", "id").collect()
+    assert sorted(map(tuple, got)) == sorted((n, q[0]) for n, k, a in facts for q in periods if q[1] == k and inside(a, q[2], q[3]))
+    full = lambda s, e: s is None or e is None or s < e
+    over = lambda a, b, c, d: (a is None or d is None or a < d) and (c is None or b is None or c < b) and full(a, b) and full(c, d)
+    for spans in ([("f", "t")], [("f", "t"), ("g", "u")]):
+        expected = {(x[1], x[0], y[0]) for x in periods for y in periods if x[1] == y[1] and x[0] < y[0] and all(over(*x[2 + 2 * i : 4 + 2 * i], *y[2 + 2 * i : 4 + 2 * i]) for i in range(len(spans)))}
+        found = R.period_conflicts(p, ["k"], "id", spans).collect()
+        assert sorted(map(tuple, found)) == sorted(expected)
+    assert R.period_conflicts(p.limit(0), ["k"], "id", [("f", "t")]).count() == 0
+
+
+def test_numbers_and_totals_over_ranges(spark):
+    t = spark.range(0, 1000, 1, 7).select("id", F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 5).alias("v"))
+    assert sorted((r["id"], r["n"]) for r in ordering.numbered(t, [F.desc("id")], "n").collect()) == [(i, 999 - i) for i in range(1000)]
+    total, expected = 0, {}
+    for i in range(1000):
+        expected[i] = total
+        total += 0 if i % 9 == 0 else i % 5
+    assert {r["id"]: r["s"] for r in ordering.running_total(t, ["id"], F.col("v"), "s").collect()} == expected
+    assert ordering.numbered(t.limit(0), ["id"], "n").count() == 0
+    assert rows(R.pairwise_overlap(spark.createDataFrame([("s", "a", 1), ("s", "b", 1), ("s", "c", 1), ("s", "a", 2), ("s", "b", 2), ("s", "b", 2), ("s", None, 2), (None, "x", 1), (None, "y", 1)], "scope string, src string, k int"), ["scope"], "src", "k")) == {("s", "a", "b", 2), ("s", "a", "c", 1), ("s", "b", "c", 1), (None, "x", "y", 1)}
+
+
 def test_checks_fold_and_edges(spark):
     t = spark.createDataFrame([("u", 1, "h", None), ("u", 2, None, "e"), ("u", 3, "h", None), ("u", 4, "g", None), ("u", 5, None, "e"), ("w", 1, None, "e")], "k string, at int, d string, err string")
     got = {r["k"]: (r["last_attempt"], r["attempts"], r["last_success"], r["last_change"], r["d"], r["failures_since"]) for r in supersede.folded_checks(t, "k", "at", "d", "err").collect()}

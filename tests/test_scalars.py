@@ -74,9 +74,14 @@ def test_bundles_masks_and_streets(spark):
     assert value(spark, S.bundle_key, [], "array<string>") is None
     assert value(spark, lambda x: S.coordinates(x, F.lit(200.0)), 1.0, "double") is None
     parsed = [tuple(value(spark, S.street_and_civic, t)) for t in ("Via Roma, 12/b", "Via Roma snc", "S.P. 12", None)]
-    assert parsed == [("Via Roma", "civic", "12", "B"), ("Via Roma", "no_civic", None, None), ("S.P. 12", "unparsed", None, None), ("", "blank", None, None)]
-    shaped = value(spark, S.shaped_identifiers, "C.F. ABCDEF12\nG34H567I 01234567890")
-    assert {i["normalised_value"] for i in shaped} >= {"01234567890"}
+    assert parsed == [("Via Roma", "civic", "12", "B"), ("Via Roma", "explicit_no_civic", None, None), ("S.P. 12", "terminal_number_is_route_number", None, None), ("", "blank", None, None)]
+    assert [value(spark, S.street_and_civic, t)["status"] for t in ("Via Verdi 33/A", "Via Verdi 63/65", "strada statale 18", "Via km 7", "Via del Corso 5-b ")] == ["civic", "no_confident_terminal_civic", "terminal_number_is_route_number", "terminal_number_is_route_number", "civic"]
+    shaped = value(spark, S.shaped_identifiers, "019706230787\nGNSFTN75S22Z1\n12O\n x-y\nC.F.\n00940370802\n\nABC")
+    assert [(i["raw_value"], i["shape"], i["scheme_assertion"], i["source_hint"]) for i in shaped] == [
+        ("019706230787", "numeric_12_digits", "UNKNOWN", None), ("GNSFTN75S22Z112O", "16_char_alphanumeric", "IT_CF_CANDIDATE", None), ("X-Y", "unparsed", "UNKNOWN", None),
+        ("00940370802", "11_digit_numeric", "IT_CF_CANDIDATE", "CF"), ("ABC", "unparsed_alphanumeric", "UNKNOWN", None),
+    ]
+    assert value(spark, S.shaped_identifiers, None) == [] and shaped[3]["candidate_schemes"] == ["IT_CF"]
     assert [w["start"] for w in value(spark, S.word_spans, "ab, cd")] == [0, 4]
     assert value(spark, S.nfkc, "ﬁ  x") == "fi x"
 
