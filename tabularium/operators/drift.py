@@ -20,15 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabularium.functions.canonical import canonical, type_tag
-from tabularium.session import written
+from tabularium.session import shipped, written
 
 RECORDS, DIAGNOSTICS = "records_json", "diagnostics_json"
 #: Two fields carry the same information if this share of the entries that have both agree.
 AGREEMENT = 0.5
 #: A pair of labels is known to name one field once so many files show it by their values.
 KNOWN_FILES = 2
-#: Runs whose values are read again are broadcast up to this many; beyond it they are joined by a shuffle.
-BROADCAST_RUNS = 500_000
 
 _FIELDS = pa.list_(pa.struct([("f", pa.string()), ("t", pa.string())]))
 _INVENTORY = pa.schema([("run", pa.string()), ("series", pa.string()), ("at", pa.int64()), ("n", pa.int64()), ("rec", _FIELDS), ("dia", _FIELDS), ("values", pa.string())])
@@ -81,6 +79,7 @@ def _inventory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def inventory(snapshots: DataFrame) -> DataFrame:
     """One row per distinct file with the fields of its two JSON columns and the main type of each."""
+    shipped(snapshots.sparkSession)
     source = snapshots.filter("parse_run_id is not null and source_series_key is not null").select("parse_run_id", "source_series_key", F.unix_micros("created_at"), RECORDS, DIAGNOSTICS)
     return source.mapInArrow(_inventory, _INVENTORY_DDL).dropDuplicates(["run"])
 
@@ -183,8 +182,8 @@ def field_changes(snapshots: DataFrame) -> DataFrame:
     )
     wanted = changed.filter((F.size(gone) > 0) & (F.size(new) > 0)).select(F.explode(sides).alias("s")).groupBy(F.col("s.of").alias("parse_run_id")).agg(F.collect_list(F.struct("s.target", "s.side", "s.fields")).alias("wanted"))
     wanted = written(wanted, "wanted")
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_RUNS else wanted
-    read = snapshots.select("parse_run_id", RECORDS).join(side, "parse_run_id").select(RECORDS, "wanted")
+    # a written table has a known size, so it is broadcast only if that is under the session's own bound
+    read = snapshots.select("parse_run_id", RECORDS).join(wanted, "parse_run_id").select(RECORDS, "wanted")
     found = read.mapInArrow(_values, "target string, side string, field string, entries array<string>, hashes array<string>")
     found = found.groupBy(F.col("target").alias("run")).agg(F.collect_set(F.struct("side", "field", "entries", "hashes")).alias("found"))
     ddl = "parse_run_id string, json_column string, change_kind string, field_name string, former_name string, type string"
@@ -250,6 +249,7 @@ def unified_records(snapshots: DataFrame) -> DataFrame:
     the type met, the value in the branch of that type, and its canonical form. A file delivered
     repeatedly counts once. NULL or malformed JSON gives no records; an entry_id that is no whole number is NULL.
     """
+    shipped(snapshots.sparkSession)
     ids = snapshots.filter(F.col("parse_run_id").isNotNull())
     w = Window.partitionBy("parse_run_id").orderBy("created_at")
     once = ids.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("parse_run_id", "source_series_key", RECORDS)
@@ -295,6 +295,7 @@ def appearing_alternatives(snapshots: DataFrame) -> DataFrame:
     the elements of an array are the step ``[]``. Paths are told apart by their steps, so a label that holds a dot is never merged with a nested
     field. Nulls have no type and add nothing.
     """
+    shipped(snapshots.sparkSession)
     source = snapshots.filter("parse_run_id is not null and source_series_key is not null").select("parse_run_id", "source_series_key", F.unix_micros("created_at"), RECORDS, DIAGNOSTICS)
     files = source.mapInArrow(_alternatives, _PATHS_DDL).dropDuplicates(["run"])
     cells = files.select("series", "at", F.explode("met").alias("x"))

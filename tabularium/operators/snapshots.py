@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabularium.session import shipped
+
 KINDS = ("added", "removed", "changed")
 BUCKET_ROWS = 100_000
 _OUT = "_group bigint, _at int, _key bigint, _kind int"
@@ -93,6 +95,7 @@ def snapshot_changes(
 
     rows: any number of snapshots. positions: see ``snapshot_positions``. key: a bigint column. digest: a bigint hash of what is compared.
     """
+    shipped(rows.sparkSession)
     compact = rows.filter(F.col(key).isNotNull()).select(
         F.col(snapshot).alias("_snapshot"),
         F.col(key).cast("bigint").alias("_key"),

@@ -131,6 +131,19 @@ def file_records(s: SparkSession, d: str) -> DataFrame:
     return records.select("parse_run_id", "position", "entry_id", F.explode("fields").alias("label", "cell")).select("parse_run_id", "position", "entry_id", "label", "cell.*")
 
 
+@query("""WITH o AS (SELECT * FROM (SELECT parse_run_id, records_json AS j, row_number() OVER (PARTITION BY parse_run_id ORDER BY created_at) AS k FROM parse_snapshot WHERE parse_run_id IS NOT NULL) WHERE k = 1),
+r AS (SELECT parse_run_id, unnest(generate_series(0, CAST(json_array_length(j) AS INT) - 1)) AS position, j FROM o),
+c AS (SELECT parse_run_id, position, json_extract(j, '$[' || position || ']') AS rec FROM r),
+l AS (SELECT *, unnest(json_keys(rec)) AS label FROM c), v AS (SELECT *, json_extract(rec, '$."' || label || '"') AS x FROM l WHERE label <> 'entry_id'),
+t AS (SELECT *, CASE json_type(x) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'number' END AS type FROM v)
+SELECT parse_run_id, CAST(position AS BIGINT) AS position, CAST(json_extract(rec, '$.entry_id') AS BIGINT) AS entry_id, label, type, CASE type WHEN 'string' THEN x ->> '$' END AS as_string, CASE type WHEN 'number' THEN CAST(x AS DOUBLE) END AS as_number, CASE type WHEN 'boolean' THEN x ->> '$' END AS as_boolean FROM t""")
+def file_values(s: SparkSession, d: str) -> DataFrame:
+    """The values of all records of all files, each in the branch of its type."""
+    records = drift.unified_records(table(s, d, "parse_snapshot"))
+    cells = records.select("parse_run_id", F.col("position").cast("bigint").alias("position"), "entry_id", F.explode("fields").alias("label", "cell"))
+    return cells.select("parse_run_id", "position", "entry_id", "label", *[F.col(f"cell.{c}").alias(c) for c in ("type", "as_string", "as_number")], F.col("cell.as_boolean").cast("string").alias("as_boolean"))
+
+
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
 i AS (SELECT doc_id, line, unnest(regexp_split_to_array(trim(regexp_replace(t, '[\\s\\x{00A0}]+', ' ', 'g')), '\\s*•\\s*|\\s+-\\s+')) AS item FROM l)
 SELECT * FROM i WHERE item <> ''""")

@@ -31,17 +31,29 @@ def work_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as a compressed table in the shared folder, and read back from there."""
     spark = df.sparkSession
+    shipped(spark)
     path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._tabularium_path = path
+    spark.__dict__.setdefault("_tabularium_tables", []).append(path)
     return back
 
 
+def cleared(spark: SparkSession) -> None:
+    """Removes all tables that ``written`` made in this session; for the end of a job, when no frame that reads them is used any more."""
+    for path in spark.__dict__.pop("_tabularium_tables", []):
+        _removed(spark, path)
+
+
+def _removed(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def discarded(table: DataFrame) -> None:
     """Removes the files of a table made by ``written`` that nothing reads any more."""
-    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._tabularium_path)
-    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    _removed(table.sparkSession, table._tabularium_path)
 
 
 def shipped(spark: SparkSession) -> None:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.session import shipped
+
 
 def delimited(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ";") -> DataFrame:
     """A delimited file as texts; its header must have the given columns, a byte-order mark before the first is dropped. Filters and projections reach the scan."""
@@ -160,6 +162,7 @@ def parsed_files(files: DataFrame, name: Column | str, settings: Mapping[str, st
 
     A file that can't be read gives one row with its error and no record, so one bad file stops nothing.
     """
+    shipped(files.sparkSession)
     chosen = files.select("path", "content", (F.col(name) if isinstance(name, str) else name).alias("parser"))
     given = dict(settings or {})
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.session import written
+from tabularium.session import shipped, written
 
 DOCUMENT_SUFFIXES = (".pdf", ".xlsx", ".xls", ".docx", ".doc", ".csv", ".ods", ".zip")
 _BLOCKS = frozenset(("table", "tr", "td", "th"))
@@ -143,6 +143,7 @@ def page_links(pages: DataFrame, url: str, html: str, hosts: frozenset[str], **f
             rows = [(u, n, *link) for u, h in zip(batch.url, batch.html, strict=True) for n, link in enumerate(links(h or "", u or "", hosts, **filters))]
             yield pd.DataFrame(rows, columns=["page", "position", "address", "text", "kind"])
 
+    shipped(pages.sparkSession)
     return pages.select(F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(run, "page string, position int, address string, text string, kind string")
 
 
@@ -159,6 +160,7 @@ def index_rows(pages: DataFrame, url: str, html: str) -> DataFrame:
             ]
             yield pd.DataFrame(rows, columns=["page", "table", "row", "texts", "addresses"])
 
+    shipped(pages.sparkSession)
     return pages.select(F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(run, "page string, table int, row int, texts array<string>, addresses array<string>")
 
 
