@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.address_parts import parse_address
 from tabularium.llm.addresses import municipality_likeness, same_location, same_street
 from tabularium.llm.entries import identifier_kind, identifier_relation, identifier_text, mask_shape, visible
-from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, align, code_keys, phonetic, same_name, unjoined
+from tabularium.llm.name_parts import _NICK, NICKNAMES, code_keys, compared, phonetic, unjoined
 from tabularium.session import written
 
 #: Levels of the fields name, identifier and address, and routes (address, identifier, both); patterns are their product.
@@ -36,7 +36,8 @@ START_SHARE = (0.1, 0.1, 0.9)
 #: independence cannot tell from matches, so estimation is kept from taking them for one.
 MOST_OPPOSED = 0.001
 
-_PROFILE = "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>, keys array<string>, shapes array<string>"
+_PROFILE = "entry bigint, side string, names array<string>, ids array<string>, addresses array<string>"
+_KINDS = "kind bigint, n bigint, side string, names array<string>, ids array<string>, addresses array<string>, keys array<string>, shapes array<string>"
 
 
 def _telling(core: str, common: frozenset[str]) -> list[str]:
@@ -86,7 +87,7 @@ def _mask_blocks(batches: Iterator[pa.RecordBatch], sides: tuple[str, str], shap
 
 def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names, ids, addresses, keys, shapes = [], [], [], [], []
+        names, ids, addresses = [], [], []
         for spelt, values, written_as in zip(*(batch.column(c).to_pylist() for c in ("names", "ids", "addresses")), strict=True):
             cores = sorted({unjoined(n, common) for n in spelt or () if n and n.strip()})
             plain = sorted({t for v in values or () if (t := identifier_text(v))})
@@ -94,10 +95,18 @@ def _profiles(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iter
             names.append(cores)
             ids.append(plain)
             addresses.append(["|".join(p) for p in places])
-            keys.append(sorted(blocking_keys(cores, plain, places, common)))
+        arrays = [pa.array(x, pa.list_(pa.string())) for x in (names, ids, addresses)]
+        yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("side"), *arrays], ["entry", "side", "names", "ids", "addresses"])
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], common: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, shapes = [], []
+        for cores, plain, places in zip(*(batch.column(c).to_pylist() for c in ("names", "ids", "addresses")), strict=True):
+            keys.append(sorted(blocking_keys(cores, plain, [p.split("|") for p in places], common)))
             shapes.append(sorted({mask_shape(v) for v in plain if identifier_kind(v) == "masked"}))
-        arrays = [pa.array(x, pa.list_(pa.string())) for x in (names, ids, addresses, keys, shapes)]
-        yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("side"), *arrays], ["entry", "side", "names", "ids", "addresses", "keys", "shapes"])
+        arrays = [pa.array(x, pa.list_(pa.string())) for x in (keys, shapes)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, "keys", "shapes"])
 
 
 def name_level(a: Sequence[str], b: Sequence[str], common: frozenset[str]) -> int:
@@ -108,11 +117,10 @@ def name_level(a: Sequence[str], b: Sequence[str], common: frozenset[str]) -> in
             p, q = x.split(" "), y.split(" ")
             if sorted(p) == sorted(q):
                 return 4
-            if (s := same_name(Name(tuple(p), "", False), Name(tuple(q), "", False), common)) > 0:
+            s, differ = compared(tuple(p), tuple(q), common)
+            if s > 0:
                 best = max(best, 3 if s >= 0.75 else 2)
-            elif best == 1 and not opposed:
-                met, rest_a, rest_b = align(tuple(p), tuple(q))
-                opposed = bool(rest_a and rest_b) and any(s >= 0.75 and m not in common for s, m, _ in met)
+            opposed = opposed or differ
     return 0 if best == 1 and opposed else best
 
 
@@ -190,7 +198,8 @@ def linked_records(profiles: DataFrame, sides: tuple[str, str], common: frozense
     """
     known = written(profiles.filter(F.col("side").isin(*sides)).mapInArrow(lambda b: _profiles(b, common), _PROFILE), "profiles")
     alike = ("side", "names", "ids", "addresses")
-    kinds = written(known.groupBy(*alike).agg(F.min("entry").alias("kind"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("shapes").alias("shapes")), "kinds")
+    distinct = known.groupBy(*alike).agg(F.min("entry").alias("kind"), F.count("*").alias("n")).select("kind", "n", *alike)
+    kinds = written(distinct.mapInArrow(lambda b: _keyed(b, common), _KINDS), "kinds")
     shapes = sorted(r["shape"] for r in kinds.select(F.explode("shapes").alias("shape")).distinct().collect())
     masks = kinds.filter(F.size("ids") > 0).select(F.col("kind").alias("entry"), "side", "ids").mapInArrow(lambda b: _mask_blocks(b, sides, shapes), "entry bigint, side string, keys array<string>")
     blocks = kinds.select(F.col("kind").alias("entry"), "side", "keys").unionByName(masks).select("entry", "side", F.explode("keys").alias("key"))

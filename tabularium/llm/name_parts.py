@@ -189,8 +189,11 @@ def word_score(a: str, b: str) -> float:
         return 0.8
     if short < 4:
         return 0.0
+    few = within(x, y, 1 if short < 8 else 2)
+    if not few and x[0] != y[0]:
+        return 0.0
     j = jaro_winkler(x, y)
-    if j >= (EDITED if within(x, y, 1 if short < 8 else 2) else ALIKE):
+    if j >= (EDITED if few else ALIKE):
         return j
     return 0.76 if (x in NICKNAMES) != (y in NICKNAMES) and x[0] == y[0] and within(x, y, 2) else 0.0
 
@@ -223,18 +226,28 @@ def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[tuple[float, str
     return met, [w for i, w in enumerate(a) if -i not in used_a], [w for j, w in enumerate(b) if -j not in used_b]
 
 
-@lru_cache(maxsize=500_000)
 def same_name(a: Name, b: Name, weak: frozenset[str] = frozenset()) -> float:
     """Likeness of two names from 0 to 1; 0 means different names.
 
     All words of one must be found in the other; what the other has more may only be words of ``weak``
     (lines of business and the like). At least one long word must agree as a whole.
     """
-    met, rest_a, rest_b = align(a.words, b.words)
+    return compared(a.words, b.words, weak)[0]
+
+
+@lru_cache(maxsize=500_000)
+def compared(a: tuple[str, ...], b: tuple[str, ...], weak: frozenset[str]) -> tuple[float, bool]:
+    """The likeness of two names by their words, and whether they share a word beside ``weak`` ones while both have others that differ."""
+    met, rest_a, rest_b = align(a, b)
+    likeness = _likeness(a, b, met, rest_a, rest_b, weak)
+    return likeness, not likeness and bool(rest_a and rest_b) and any(s >= 0.75 and w not in weak for s, w, _ in met)
+
+
+def _likeness(words_a: tuple[str, ...], words_b: tuple[str, ...], met: list[tuple[float, str, str]], rest_a: list[str], rest_b: list[str], weak: frozenset[str]) -> float:
     if (rest_a or rest_b) and not any(w in NICKNAMES and len(rest_a) == len(rest_b) for w in rest_a + rest_b):
-        x, y = "".join(a.words).replace(".", ""), "".join(b.words).replace(".", "")
-        turned = "".join(b.words[1:] + b.words[:1]).replace(".", "")
-        if len(a.words) != len(b.words) and len(x) > 9 and (within(x, y, 2) or within(x, turned, 2)):
+        x, y = "".join(words_a).replace(".", ""), "".join(words_b).replace(".", "")
+        turned = "".join(words_b[1:] + words_b[:1]).replace(".", "")
+        if len(words_a) != len(words_b) and len(x) > 9 and (within(x, y, 2) or within(x, turned, 2)):
             return 0.9
     strong = [s for s, x, y in met if s >= 0.75 and min(len(x), len(y)) > 3 and "." not in x + y]
     if strong and (_written_together(rest_a[0], rest_b) if len(rest_a) == 1 else len(rest_b) == 1 and _written_together(rest_b[0], rest_a)):
