@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.session import shipped
+
 #: Encodings that UTF-8 bytes are wrongly decoded with, and pairs of (wrong, intended) single-byte encodings.
 WIDE = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1250", "cp1254")
 NARROW = (
@@ -326,4 +328,5 @@ def garbled_texts(documents: DataFrame) -> DataFrame:
     Only texts with a character beyond ASCII leave the JVM. NULL texts and texts without such a character are no case; texts are read
     whole; every copy of a text is reported, and a repeated row as often as it stands.
     """
+    shipped(documents.sparkSession)
     return documents.filter(F.col("text").rlike(SUSPECT)).select("doc_id", "text").mapInArrow(_repaired, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, restored string, layers int, lost boolean")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabularium.session import shipped
+
 #: Shortest passage that counts, in words, and most words that may lie between two passages of a chain in either text.
 MIN_RUN, MAX_GAP = 3, 7
 #: Words of an item that a chain must cover to be a leak: quotations under 10 words are none, passages of 20 words with single words changed are, and
@@ -262,6 +264,7 @@ def _groups(items: DataFrame) -> list[list[tuple[tuple[int, str], ...]]]:
 
 
 def _texts(documents: DataFrame) -> DataFrame:
+    shipped(documents.sparkSession)
     return documents.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 

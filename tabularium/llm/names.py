@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tabularium.llm.entries import identifier_relation, identifier_text
 from tabularium.llm.name_parts import _NICK, NICKNAMES, Name, code_keys, parse_name, phonetic, same_name, unjoined
 from tabularium.operators.components import components
-from tabularium.session import written
+from tabularium.session import discarded, written
 
 #: A word that at least this share of all entries have is a line of business or the like and tells no subject. At most 1 / share times the words of a name can be.
 COMMON_SHARE = 0.003
@@ -134,6 +134,8 @@ def name_variants(names: DataFrame, identifiers: DataFrame) -> DataFrame:
     classes = written(members.groupBy("node", "ids").agg(F.min("entry").alias("cls")), "name-classes")
     several = entries.filter(F.size("nodes") > 1).select("entry", "ids", F.explode("nodes").alias("node")).join(classes, ["node", "ids"]).select(F.col("entry").alias("a"), F.col("cls").alias("b"))
     groups = components(class_links(accepted, classes).unionByName(several), "a", "b").withColumnRenamed("node", "cls")
+    for finished in (blocks, accepted):
+        discarded(finished)
     placed = members.join(classes, ["node", "ids"]).join(groups, "cls", "left").groupBy("entry").agg(F.min(F.coalesce("root", "cls")).alias("root"))
     placed = written(entries.drop("nodes").join(placed, "entry"), "name-groups")
     left, right = (placed.select("root", F.col("entry").alias(n), F.col("ids").alias(f"ids_{n}"), F.col("spelt").alias(f"spelt_{n}")) for n in ("a", "b"))

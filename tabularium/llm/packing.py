@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabularium.session import written
+from tabularium.session import shipped, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the word pattern that the vocabulary was made with.
@@ -74,6 +74,7 @@ def _counter(vocabulary: str) -> TokenCounter:
 
 def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id`` and ``n_tokens``, the tokens of the whole text; a NULL or empty text has none."""
+    shipped(documents.sparkSession)
     documents.sparkSession.sparkContext.addFile(vocabulary)
     name = Path(vocabulary).name
 
