@@ -125,3 +125,56 @@ def key_history(rows: DataFrame, tree: DataFrame, *, snapshot: str, key: str, di
     w = Window.partitionBy("_group", "_leaf", "_key").orderBy("_at")
     bounds = sides.withColumn("_until", F.lead("_date").over(w)).filter(F.col("_now").isNotNull())
     return bounds.select(F.col("_key").alias(key), F.col("_date").alias("valid_from"), F.col("_until").alias("valid_to"))
+
+
+LEAVES_DDL = "_group bigint, _depth int, _leaf bigint, _digest bigint, _rows array<struct<_key:bigint,_hash:bigint>>"
+
+
+def newest_leaves(rows: DataFrame, *, group: str, key: str, digest: Column, version: Column, tie: Column, stored: DataFrame | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """The leaves of the trees over one snapshot of each group (see ``LEAVES_DDL``), as they are kept from run to run.
+
+    rows: of one snapshot per group; which row of a key counts is as in ``key_history``. stored: leaves of the former snapshots, whose depths are kept, so that
+    trees can be compared. Rows without group or key are left out.
+    """
+    known = rows.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).select(F.xxhash64(group).alias("_group"), F.col(key).cast("bigint").alias("_key"), F.struct(version.alias("v"), tie.alias("t"), digest.alias("_hash")).alias("_row"))
+    once = known.groupBy("_group", "_key").agg(F.max("_row")["_hash"].alias("_hash"))
+    depth = once.groupBy("_group").agg(F.greatest(F.lit(0), F.ceil(F.log(2.0, F.count("*") / F.lit(leaf_rows)) / FANOUT_BITS)).cast("int").alias("_depth"))
+    if stored is not None:
+        kept = stored.groupBy("_group").agg(F.first("_depth").alias("_kept"))
+        depth = depth.join(kept, "_group", "left").select("_group", F.coalesce("_kept", "_depth").alias("_depth"))
+    placed = once.join(depth, "_group").withColumn("_leaf", F.xxhash64("_key").bitwiseAND(F.expr(f"shiftleft(1L, _depth * {FANOUT_BITS}) - 1")))
+    return placed.groupBy("_group", "_depth", "_leaf").agg(F.bit_xor(F.xxhash64("_key", "_hash")).alias("_digest"), F.collect_list(F.struct("_key", "_hash")).alias("_rows"))
+
+
+def appended_versions(versions: DataFrame, stored: DataFrame, fresh: DataFrame, dates: DataFrame, key: str) -> DataFrame:
+    """The history after one more snapshot of some groups: versions of changed or vanished keys closed, versions of changed or new keys appended.
+
+    versions: ``key``, ``valid_from``, ``valid_to`` (NULL while open). stored, fresh: ``newest_leaves`` before and now. dates: ``_group``, ``_date`` of the
+    groups with a new snapshot; groups without one stay as they are. Trees are compared from the root, and only rows of differing leaves are looked at, so
+    a run costs its new snapshots and no former one is read again.
+    """
+    both = [written(x.join(dates.select("_group"), "_group", "left_semi"), "sides") for x in (stored, fresh)]
+    deepest = max((x.agg(F.max("_depth")).first()[0] or 0) for x in both)
+
+    def level(leaves: DataFrame, depth: int) -> DataFrame:
+        node = F.expr(f"shiftright(_leaf, (_depth - {depth}) * {FANOUT_BITS})")
+        return leaves.filter(F.col("_depth") >= depth).groupBy("_group", "_depth", node.alias("_node")).agg(F.bit_xor(F.xxhash64("_leaf", "_digest")).alias("_digest"))
+
+    front, places = None, []
+    for d in range(deepest + 1):
+        was, now = (level(x, d) for x in both)
+        if front is not None:
+            up = front.select("_group", F.col("_node").alias("_up"))
+            was, now = (x.withColumn("_up", F.shiftright("_node", FANOUT_BITS)).join(up, ["_group", "_up"], "left_semi").drop("_up") for x in (was, now))
+        on = ["_group", "_depth", "_node"]
+        differ = was.withColumnRenamed("_digest", "_was").join(now.withColumnRenamed("_digest", "_now"), on, "full_outer").filter(~F.col("_was").eqNullSafe(F.col("_now")))
+        front = written(differ.select(*on), "front")
+        places.append(front.filter(F.col("_depth") == d).select("_group", F.col("_node").alias("_leaf")))
+    leaves = reduce(DataFrame.unionByName, places)
+    was, now = (x.join(leaves, ["_group", "_leaf"], "left_semi").select("_group", F.inline("_rows")).withColumnRenamed("_hash", n) for x, n in zip(both, ("_was", "_now"), strict=True))
+    changed = was.join(now, ["_group", "_key"], "full_outer").filter(~F.col("_was").eqNullSafe(F.col("_now"))).join(dates, "_group")
+    changed = written(changed.select(F.col("_key").alias(key), F.col("_date"), F.col("_was").isNotNull().alias("_closes"), F.col("_now").isNotNull().alias("_opens")), "changed")
+    ended = versions.join(changed.filter("_closes").select(key, "_date"), key, "left")
+    end = F.when(F.col("valid_to").isNull(), F.col("_date")).otherwise(F.col("valid_to"))
+    kept = ended.select(key, "valid_from", end.alias("valid_to"))
+    return kept.unionByName(changed.filter("_opens").select(key, F.col("_date").alias("valid_from"), F.lit(None).cast(versions.schema["valid_to"].dataType).alias("valid_to")))

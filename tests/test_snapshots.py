@@ -8,9 +8,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tabularium.operators import history
 from tabularium.operators.drift import appearing_alternatives, field_changes, unified_records
 from tabularium.operators.history import key_history, snapshot_tree
 from tabularium.operators.snapshots import snapshot_changes, snapshot_positions
+from tabularium.session import written
 
 DAY = dt.date(2020, 1, 1)
 
@@ -187,3 +189,33 @@ def test_alternatives_keep_odd_values_and_nested_fields(spark):
         ("records_json", "seat.lots.[]", "object"): (1, 1), ("records_json", "seat.lots.[].a.b", "boolean"): (1, 1),
         ("diagnostics_json", "counts", "object"): (1, 1), ("diagnostics_json", "counts.listed", "number"): (1, 1),
     }
+
+
+def test_history_by_appending_equals_history_of_all(spark):
+    r = random.Random(8)
+    groups = {g: {k + 10_000 * n: r.randrange(3) for k in range(size)} for n, (g, size) in enumerate((("big", 700), ("small", 5), ("gone", 3)))}
+    snapshots, rows_, versions, stored = [], [], spark.createDataFrame([], "k bigint, valid_from date, valid_to date"), spark.createDataFrame([], history.LEAVES_DDL)
+    options = {"key": "k", "digest": F.xxhash64("v"), "version": F.col("at"), "tie": F.col("at")}
+    for n in range(4):
+        when, new = dt.date(2020, 1, 1 + n), []
+        for g, state in groups.items():
+            if n == 2 and g == "small":
+                continue
+            for k in r.sample(sorted(state), len(state) // 20 + 1) if n else ():
+                state[k] = r.randrange(3)
+            if n:
+                state.pop(min(state))
+                state[max(state) + 1] = 1
+            sid = f"{g}{n}"
+            snapshots.append((sid, g, when, len(state)))
+            new += [(sid, g, k, v, 2) for k, v in state.items()] + [(sid, g, k, v + 7, 1) for k, v in list(state.items())[:2]] + [(sid, g, None, 1, 1)]
+        rows_ += new
+        frame = spark.createDataFrame(new, "sid string, g string, k bigint, v int, at int")
+        dates = frame.select(F.xxhash64("g").alias("_group")).distinct().withColumn("_date", F.lit(when))
+        fresh = written(history.newest_leaves(frame, group="g", stored=stored, **options), "fresh")
+        versions = written(history.appended_versions(versions, stored, fresh, dates, "k"), "versions")
+        stored = written(stored.join(dates, "_group", "left_anti").unionByName(fresh), "stored")
+    tree = history.snapshot_tree(spark.createDataFrame(snapshots, "sid string, g string, d date, n int"), snapshot="sid", group="g", date=F.col("d"), order=[], rows=F.col("n"))
+    everything = history.key_history(spark.createDataFrame(rows_, "sid string, g string, k bigint, v int, at int"), tree, snapshot="sid", **options)
+    assert sorted(map(str, versions.collect())) == sorted(map(str, everything.select("k", "valid_from", "valid_to").collect()))
+    assert stored.filter("_depth > 0").count() > 0
