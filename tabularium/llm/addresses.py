@@ -131,9 +131,9 @@ def _parsed(batches: Iterator[pa.RecordBatch], parse) -> Iterator[pa.RecordBatch
 
 
 def address_parts(records: DataFrame, record: str, *columns: str) -> DataFrame:
-    """``record`` (as ``record``) with the parts of its address: one column of free text, or municipality, street and civic."""
+    """``record`` (as ``record``) with the parts of its address: one column of free text, or municipality, street and civic. Rows without ``record`` are left out."""
     parse = parse_address if len(columns) == 1 else parse_review
-    return records.select(F.col(record).cast("bigint").alias("record"), *columns).mapInArrow(lambda b: _parsed(b, parse), f"record bigint, {_PARTS_DDL}")
+    return records.filter(F.col(record).isNotNull()).select(F.col(record).cast("bigint").alias("record"), *columns).mapInArrow(lambda b: _parsed(b, parse), f"record bigint, {_PARTS_DDL}")
 
 
 def address_classes(parts: DataFrame) -> DataFrame:

@@ -56,11 +56,13 @@ def neighbour_pairs(rows: DataFrame, *, id_: str, strict: str, keys: Sequence[st
     """Pairs ``a < b`` of ids that stand within ``window`` places of each other by one of the keys, have equal ``strict`` and are alike.
 
     rows: one row per id, read several times, so best a written table. strict: a column of texts that sorts before every key. keys: columns of
-    arrays of texts; a row stands in a pass once for each. No rows or one row give no pairs; NULL keys stand in no pass.
+    arrays of texts; a row stands in a pass once for each. No rows or one row give no pairs; NULL keys stand in no pass, and rows
+    without id are left out.
     What reaches the driver is one count per partition.
     """
     kind = rows.schema[id_].dataType.simpleString()
     passes = F.concat(*[F.coalesce(_numbered(k, number), F.array().cast("array<struct<pass_:int,key_:string>>")) for number, k in enumerate(keys)])
+    rows = rows.filter(F.col(id_).isNotNull())
     laid = rows.select(F.col(id_).alias("id_"), F.col(strict).alias("strict_"), *payload, F.explode(passes).alias("p")).select("id_", "strict_", *payload, "p.pass_", "p.key_")
     total = rows.agg(F.sum(sum((F.greatest(F.size(k), F.lit(0)) for k in keys), F.lit(0)))).first()[0] or 0
     order = ("pass_", "strict_", "key_", "id_")
