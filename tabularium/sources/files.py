@@ -41,6 +41,17 @@ def verified(found: DataFrame, manifest: DataFrame) -> DataFrame:
     return joined.withColumn("state", F.when(F.col("_length").isNull(), "missing").when(F.col("_length") != F.col("byte_size"), "damaged").otherwise("verified")).drop("_length")
 
 
+def bundle_members(found: DataFrame, pinned: DataFrame, bundle: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The content of each labelled member of bundles, found by its pinned hash, and the members that are not there: a bundle without all of them is not to be used.
+
+    found: ``sha256``, ``content``, as ``objects`` gives them. pinned: bundle, ``label``, ``sha256``. A single source is a bundle of one member.
+    """
+    held = found.select("sha256", "content").dropDuplicates(["sha256"])
+    lacking = pinned.join(held.select("sha256"), "sha256", "left_anti")
+    whole = pinned.join(lacking.select(*bundle).distinct(), list(bundle), "left_anti")
+    return whole.join(held, "sha256").select(*bundle, "label", "sha256", "content"), lacking.select(*bundle, "label", "sha256")
+
+
 def bundle_digest(members: DataFrame, bundle: Sequence[str], label: str, sha256: str) -> DataFrame:
     """One digest per bundle, of its members' hashes in order of their labels."""
     hashes = F.transform(F.array_sort(F.collect_list(F.struct(label, sha256))), lambda m: m[sha256])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabularium.operators.extract import WORDS_DDL, pages_of
 from tabularium.sinks import tables as sink
 from tabularium.sources import files, html
+from tabularium.sources.tables import catalogued
 from tabularium.streaming import state
 
 
@@ -133,3 +134,19 @@ def test_streams(spark, tmp_path):
     q = state.windowed_counts(stream(), "at", ["key"], "1 hour", "1 day").writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("windows").count() == 4
+    for _ in range(2):
+        state.recounted_batches(stream(), str(tmp_path / "counts"), "at", ["key"], "1 hour", str(tmp_path / "c4")).awaitTermination()
+    counted = state.recounted(spark, str(tmp_path / "counts"), ["key"])
+    assert counted.count() == 4 and counted.agg(F.sum("n")).first()[0] == spark.table("windows").agg(F.sum("n")).first()[0]
+
+
+def test_bundles_of_members_and_catalog(spark):
+    found = spark.createDataFrame([("h1", bytearray(b"1")), ("h2", bytearray(b"2")), ("h1", bytearray(b"1"))], "sha256 string, content binary")
+    pinned = spark.createDataFrame([("a", "x", "h1"), ("a", "y", "h2"), ("b", "x", "h1"), ("b", "y", "h9")], "bundle string, label string, sha256 string")
+    whole, lacking = files.bundle_members(found, pinned, ["bundle"])
+    assert {(r["bundle"], r["label"], bytes(r["content"])) for r in whole.collect()} == {("a", "x", b"1"), ("a", "y", b"2")} and [tuple(r) for r in lacking.collect()] == [("b", "y", "h9")]
+    spark.range(5).createOrReplaceTempView("five")
+    rows, columns = catalogued(spark, "five", ["id"], 2)
+    assert [r["id"] for r in rows.collect()] == [0, 1] and [tuple(r) for r in columns.collect()] == [(0, "id", "bigint", False)]
+    with pytest.raises(ValueError, match="nowhere"):
+        catalogued(spark, "nowhere")

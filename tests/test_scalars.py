@@ -93,6 +93,8 @@ def test_keys_tell_null_from_empty_and_digests_ignore_order(spark):
     assert a == b and value(spark, S.canonical_digest, "{") is None
     with pytest.raises(ValueError):
         S.canonical_bytes(float("nan"))
+    normal = value(spark, S.normal_json, '{"b":["z  z","a",{"y":1}],"a":"ﬁ\u00a0x "}')
+    assert normal == '{"a":"fi x","b":["a","z z",{"y":1}]}' and value(spark, S.normal_json, "{") is None
 
 
 @pytest.mark.parametrize("one, other", [("09.05.2018", "2018-05-09"), ("120017,00 euro", 120017), (1, "1"), (True, "sì"), (["A", "B"], "a b"), ({"a": "Via Roma 1", "p": "XX"}, "via roma 1"), ([" x"], "X")])
