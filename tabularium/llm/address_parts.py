@@ -31,7 +31,8 @@ MONTHS = ("gennaio", "febbraio", "marzo", "aprile", "maggio", "giugno", "luglio"
 _SPELT = {
     "loc.ta": "localita", "loc.": "localita", "v.le": "viale", "v.lo": "vicolo", "c.so": "corso", "p.zza": "piazza", "p.za": "piazza", "p.le": "piazzale", "l.go": "largo", "c.da": "contrada", "s.p.": "sp", "s.s.": "ss", "s.r.": "sr",
 }
-_SPELT_RE = re.compile("|".join(rf"(?<![a-z0-9]){re.escape(k)}" for k in sorted(_SPELT, key=len, reverse=True)))
+# the first letter comes before the look behind it, so that the search can skip to it
+_SPELT_RE = re.compile("|".join(rf"{k[0]}(?<![a-z0-9].){re.escape(k[1:])}" for k in sorted(_SPELT, key=len, reverse=True)))
 _ROAD = re.compile(r"\bstr(?:ada|\.)? ?(p)rov(?:inciale|\.)?(?![a-z])|\bstr(?:ada|\.)? ?(s)tat(?:ale|\.)?(?![a-z])|\bstr(?:ada|\.)? ?(r)eg(?:ionale|\.)?(?![a-z])")
 _INSIDE = re.compile(
     r"[\s,;–-]*\b(?:(?:scala|sc|interno|int|palazzina|pal|edificio|ed|lotto|stanza|app)\.?\s*(?:[a-z]\s*[/.-]?\s*\d*|\d+\s*[°^]?\s*[/-]?\s*[a-z]?)(?![a-z0-9])|(?:piano|p\.no|capannone)\s*\d+(?![a-z0-9])|piano (?:terra|primo|secondo|rialzato)\b)"
@@ -46,6 +47,10 @@ _ROAD_NO = re.compile(rf"\b(sp|ss|sr)\s*(?:{_MARK}\s*)?(\d+)")
 _CAP = re.compile(r"(?<!\d)\d{5}(?!\d)")
 _PROVINCE = re.compile(r"\(\s*([a-z]{2})\s*\)|(?:[\s,–-])([a-z]{2})\s*[\s,:;–-]*$")
 _WORDS = re.compile(r"[a-z0-9']+")
+_LEAD = re.compile(rf"\s*(?:\d{{1,2}}|[xvi]+)\s+(?:{'|'.join(MONTHS)})\b")
+_LETTERS = re.compile("[a-z]{3}")
+_CUT = re.compile(r"\s*(?:,|;|:|\s[–-]\s|#####|\bin\b|(?<!\d)\d{5}(?!\d))")
+_BREAK = re.compile(r",|;|\s[–-]\s")
 _TYPE = re.compile(r"(?<![a-z0-9.'])(" + "|".join(sorted((re.escape(t) for t in STREET_TYPES), key=len, reverse=True)) + r")(?![a-z0-9])['.]?")
 _ROMAN = re.compile(r"(x{0,3})(ix|iv|v?i{0,3})\Z")
 _ENDINGS = ("in", "di", "al", "del", "della", "d")
@@ -152,7 +157,7 @@ def parse_address(text: str | None, street_only: bool = False) -> Address:
         return Address(muni, kind, number, civic, cap[0] if cap else "", province)
     plain = _CAP.sub(lambda m: "#####", tail)
     name_end, rest, civic = len(tail), "", ""
-    lead = re.match(rf"\s*(?:\d{{1,2}}|[xvi]+)\s+(?:{'|'.join(MONTHS)})\b", plain)
+    lead = _LEAD.match(plain)
     none, km, number = _NONE.search(plain), _KM.search(plain), _CIVIC.search(plain, lead.end() if lead else 0)
     ends = [m for m in (none, km, number) if m]
     if ends:
@@ -163,15 +168,15 @@ def parse_address(text: str | None, street_only: bool = False) -> Address:
         elif m is km:
             civic = f"km{int(m[1])}+{(m[2] or '').ljust(3, '0')}"
     name = tail[:name_end]
-    if not head.strip(" ,:;–-") or not re.search("[a-z]{3}", head):
+    if not head.strip(" ,:;–-") or not _LETTERS.search(head):
         # the municipality follows; without a number it begins after a separator
-        cut = re.search(r"\s*(?:,|;|:|\s[–-]\s|#####|\bin\b|(?<!\d)\d{5}(?!\d))", name)
+        cut = _CUT.search(name)
         if cut:
             name, rest = name[: cut.start()], name[cut.end() :] + " " + rest
         muni, province = municipality_words(rest)
     else:
         muni, province = municipality_words(head)
-        name = re.split(r",|;|\s[–-]\s", name.strip(" ,;–-"))[0]
+        name = _BREAK.split(name.strip(" ,;–-"), maxsplit=1)[0]
     words = street_words(name).split()
     if not muni and len(words) > 1 and not street_only:
         if len(words) > 2 and len(words[-1]) == 2:
