@@ -29,6 +29,8 @@ def fold_text(text: str | None) -> str | None:
 
 def strip_accents(text: str) -> str:
     """``text`` in lower case without accents; punctuation and spacing stay."""
+    if text.isascii():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
 
 
