@@ -24,43 +24,52 @@ def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (*order, *rest)]).select(*rows.columns)
 
 
-#: Parts that the time of a range join is cut into.
-TIME_PARTS = 256
+#: Periods of one key that meet everything of the key, and parts at most that the time of a key with more is cut into.
+PART_ROWS, TIME_PARTS = 64, 256
 
 
 def _seconds(at: Column) -> Column:
     return at.cast("timestamp").cast("double")
 
 
-def _time_parts(rows: DataFrame, *columns: str) -> tuple[float, float]:
-    """The first moment among some columns and the width of one of ``TIME_PARTS`` parts up to the last one."""
-    ends = [f(_seconds(F.col(c))) for c in columns for f in (F.min, F.max)]
-    met = [v for v in rows.agg(*[e.alias(f"_{n}") for n, e in enumerate(ends)]).first() if v is not None]
-    low, high = (min(met), max(met)) if met else (0.0, 0.0)
-    return low, max(1.0, (high - low) / TIME_PARTS)
+def _cut(periods: DataFrame, on: Sequence[str], start: str, end: str) -> DataFrame:
+    """The keys with more than ``PART_ROWS`` periods, with the first moment of their bounds and the width and number of the parts up to the last one."""
+    ends = [_seconds(F.col(c)) for c in (start, end)]
+    parts = F.least(F.lit(TIME_PARTS), F.ceil(F.count("*") / PART_ROWS)).cast("int")
+    cut = periods.groupBy(*on).agg(F.min(F.least(*ends)).alias("_low"), F.max(F.greatest(*ends)).alias("_high"), parts.alias("_parts"))
+    return cut.filter("_parts > 1 and _low is not null").select(*on, "_low", F.greatest(F.lit(1.0), (F.col("_high") - F.col("_low")) / F.col("_parts")).alias("_width"), "_parts")
 
 
-def _part(at: Column, low: float, width: float) -> Column:
-    return F.when(at.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(TIME_PARTS), F.floor((_seconds(at) - low) / width)))).cast("int")
+def _part(at: Column, unknown: Column) -> Column:
+    """The part of its key's time that a moment stands in; all of a key whose time is not cut stands in part 0."""
+    part = F.floor((_seconds(at) - F.col("_low")) / F.col("_width"))
+    return F.when(F.col("_parts").isNull(), 0).when(at.isNull(), unknown).otherwise(F.greatest(F.lit(0), F.least(F.col("_parts") - 1, part))).cast("int")
 
 
-def _covered(start: Column, end: Column, low: float, width: float) -> Column:
-    first, last = F.coalesce(_part(start, low, width), F.lit(0)), F.coalesce(_part(end, low, width), F.lit(TIME_PARTS))
+def _begun(start: Column) -> Column:
+    return _part(start, F.lit(0))
+
+
+def _covered(start: Column, end: Column) -> Column:
+    first, last = _begun(start), _part(end, F.col("_parts") - 1)
     return F.when(first <= last, F.sequence(first, last))
 
 
 def join_in_period(facts: DataFrame, periods: DataFrame, on: Sequence[str], at: str, start: str, end: str, how: str = "inner") -> DataFrame:
     """Facts with the rows of ``periods`` that have equal keys and hold the moment ``at`` in [start, end).
 
-    Time is cut into parts between the first and the last fact; a period stands once for each part it touches and meets
-    only the facts of that part, so not every fact meets every period of its key. A fact without moment holds in no period.
+    The time of a key with very many periods is cut into parts; a period of it stands once for each part it touches and meets only the
+    facts of that part. The periods of any other key stand once, so their number hardly grows. As Spark takes the spread rows for no more
+    than the periods themselves, they are never broadcast. A fact without moment holds in no period.
     """
-    low, width = _time_parts(facts, at)
-    renamed = periods.withColumnsRenamed({c: f"_p_{c}" for c in on}).withColumn("_p_part", F.explode(_covered(F.col(start), F.col(end), low, width)))
+    cut = _cut(periods, on, start, end)
+    spread = periods.join(cut, list(on), "left").select(*periods.columns, F.explode(_covered(F.col(start), F.col(end))).alias("_p_part"))
+    renamed = spread.withColumnsRenamed({c: f"_p_{c}" for c in on}).hint("merge")
+    placed = facts.join(cut, list(on), "left").select(*facts.columns, F.when(F.col(at).isNotNull(), _begun(F.col(at))).alias("_f_part"))
     condition = contains(F.col(start), F.col(end), F.col(at)) & (F.col("_f_part") == F.col("_p_part"))
     for c in on:
         condition = (F.col(c) == F.col(f"_p_{c}")) & condition
-    return facts.withColumn("_f_part", _part(F.col(at), low, width)).join(renamed, condition, how).drop("_f_part", "_p_part", *[f"_p_{c}" for c in on])
+    return placed.join(renamed, condition, how).drop("_f_part", "_p_part", *[f"_p_{c}" for c in on])
 
 
 def period_conflicts(rows: DataFrame, key: Sequence[str], id_: str, periods: Sequence[tuple[str, str]]) -> DataFrame:
@@ -71,8 +80,8 @@ def period_conflicts(rows: DataFrame, key: Sequence[str], id_: str, periods: Seq
     """
     names = [c for p in periods for c in p]
     start, end = periods[0]
-    low, width = _time_parts(rows, start, end)
-    spread = rows.select(*key, id_, *names, F.coalesce(_part(F.col(start), low, width), F.lit(0)).alias("_begins"), F.explode(_covered(F.col(start), F.col(end), low, width)).alias("_part"))
+    timed = rows.join(_cut(rows, key, start, end), list(key), "left")
+    spread = timed.select(*key, id_, *names, _begun(F.col(start)).alias("_begins"), F.explode(_covered(F.col(start), F.col(end))).alias("_part"))
     a = spread.select(*key, "_part", F.col("_begins").alias("_a_begins"), F.col(id_).alias(f"{id_}_1"), *[F.col(c).alias(f"_a_{c}") for c in names])
     b = spread.select(*key, "_part", F.col("_begins").alias("_b_begins"), F.col(id_).alias(f"{id_}_2"), *[F.col(c).alias(f"_b_{c}") for c in names])
     joined = a.join(b, [*key, "_part"]).filter((F.col(f"{id_}_1") < F.col(f"{id_}_2")) & (F.col("_part") == F.greatest("_a_begins", "_b_begins")))

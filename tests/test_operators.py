@@ -265,3 +265,25 @@ def test_longest_prefix_of_many_words(spark):
     got = {r["id"]: (r["code"], r["prefix_status"], r["rest"]) for r in R.longest_prefix(rows, "text", aliases, "alias", "code").collect()}
     assert got == {1: ("B", "unique", "via roma 5"), 2: ("A", "unique", "di sopra via roma 5"), 3: (None, "none", None), 4: (None, "none", None)}
     assert {r["prefix_status"] for r in R.longest_prefix(rows, "text", aliases.limit(0), "alias", "code").collect()} == {"none"}
+
+
+def _spread_over_time(n: int) -> list[tuple]:
+    """Short series with open periods, and one series of many periods, some open."""
+    few = [(i, f"s{i % (n // 5)}", day(i % 300), None) for i in range(n)]
+    return few + [(n + i, "hot", None if i % 50 == 0 else day(3 * i), None if i % 40 == 0 else day(3 * i + 7)) for i in range(n)]
+
+
+def test_periods_of_short_series_are_not_multiplied(spark):
+    facts = spark.createDataFrame([(i, k, day(i)) for i in range(900) for k in ("hot", f"s{i % 9}")], "n int, k string, at date")
+    periods = spark.createDataFrame(_spread_over_time(300), "id int, k string, f date, t date")
+    joined = R.join_in_period(facts, periods, ["k"], "at", "f", "t")
+    assert joined.count() == facts.join(periods, "k").filter("(f is null or f <= at) and (t is null or at < t)").count() > 0
+    spread = periods.join(R._cut(periods, ["k"], "f", "t"), "k", "left").select("k", F.explode(R._covered(F.col("f"), F.col("t"))))
+    assert spread.filter("k <> 'hot'").count() == 300 and spread.filter("k = 'hot'").count() < 300 * 3
+    assert "SortMergeJoin" in _joined_by(joined, "_p_part") and "Broadcast" not in _joined_by(joined, "_p_part")
+
+
+def _joined_by(frame, column: str) -> str:
+    """The operators of the plan that is first made that join by a column."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return "\n".join(x for x in plan.splitlines() if "Join" in x and column in x)
