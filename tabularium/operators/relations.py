@@ -75,19 +75,20 @@ def join_in_period(facts: DataFrame, periods: DataFrame, on: Sequence[str], at:
 def period_conflicts(rows: DataFrame, key: Sequence[str], id_: str, periods: Sequence[tuple[str, str]]) -> DataFrame:
     """Pairs of ids of one key whose periods overlap in every one of ``periods``.
 
-    Rows are spread over the parts of time that their first period touches, and a pair is taken only in the part where the later of the two begins, so
-    of a key with very many rows only those that stand close in time meet.
+    Of two whose first periods overlap one holds the moment when the other begins. So a row stands once for each part of its key's time (``join_in_period``)
+    that its first period touches, and meets there the rows that begin in that part, at its own beginning or later. The spread rows are never broadcast.
     """
     names = [c for p in periods for c in p]
     start, end = periods[0]
     timed = rows.join(_cut(rows, key, start, end), list(key), "left")
-    spread = timed.select(*key, id_, *names, _begun(F.col(start)).alias("_begins"), F.explode(_covered(F.col(start), F.col(end))).alias("_part"))
-    a = spread.select(*key, "_part", F.col("_begins").alias("_a_begins"), F.col(id_).alias(f"{id_}_1"), *[F.col(c).alias(f"_a_{c}") for c in names])
-    b = spread.select(*key, "_part", F.col("_begins").alias("_b_begins"), F.col(id_).alias(f"{id_}_2"), *[F.col(c).alias(f"_b_{c}") for c in names])
-    joined = a.join(b, [*key, "_part"]).filter((F.col(f"{id_}_1") < F.col(f"{id_}_2")) & (F.col("_part") == F.greatest("_a_begins", "_b_begins")))
+    a = timed.select(*key, F.col(id_).alias("_a"), *[F.col(c).alias(f"_a_{c}") for c in names], F.explode(_covered(F.col(start), F.col(end))).alias("_part"))
+    b = timed.select(*key, F.col(id_).alias("_b"), *[F.col(c).alias(f"_b_{c}") for c in names], _begun(F.col(start)).alias("_part"))
+    from_a, from_b = F.col(f"_a_{start}"), F.col(f"_b_{start}")
+    ordered = F.when(from_a.eqNullSafe(from_b), F.col("_a") < F.col("_b")).otherwise((F.col("_a") != F.col("_b")) & (from_a.isNull() | F.coalesce(from_a < from_b, F.lit(False))))
+    joined = a.hint("merge").join(b, [*key, "_part"]).filter(ordered)
     for start, end in periods:
         joined = joined.filter(overlap(F.col(f"_a_{start}"), F.col(f"_a_{end}"), F.col(f"_b_{start}"), F.col(f"_b_{end}")))
-    return joined.select(*key, f"{id_}_1", f"{id_}_2")
+    return joined.select(*key, F.least("_a", "_b").alias(f"{id_}_1"), F.greatest("_a", "_b").alias(f"{id_}_2"))
 
 
 def longest_prefix(rows: DataFrame, text: str, aliases: DataFrame, alias: str, code: str) -> DataFrame:

@@ -283,6 +283,16 @@ def test_periods_of_short_series_are_not_multiplied(spark):
     assert "SortMergeJoin" in _joined_by(joined, "_p_part") and "Broadcast" not in _joined_by(joined, "_p_part")
 
 
+def test_conflicts_of_long_and_short_series(spark):
+    full = lambda s, e: s is None or e is None or s < e
+    over = lambda x, y: (x[2] is None or y[3] is None or x[2] < y[3]) and (y[2] is None or x[3] is None or y[2] < x[3]) and full(*x[2:]) and full(*y[2:])
+    periods = _spread_over_time(250) + [(7, "hot", day(30), day(40)), (7, "hot", day(30), day(60)), (999, "hot", None, None), (998, "hot", day(9), day(9)), (None, "hot", None, None)]
+    found = R.period_conflicts(spark.createDataFrame(periods, "id int, k string, f date, t date"), ["k"], "id", [("f", "t")])
+    named = [x for x in periods if x[0] is not None]
+    assert sorted(map(tuple, found.collect())) == sorted((x[1], x[0], y[0]) for x in named for y in named if x[1] == y[1] and x[0] < y[0] and over(x, y))
+    assert "SortMergeJoin" in _joined_by(found, "_part") and "Broadcast" not in _joined_by(found, "_part")
+
+
 def _joined_by(frame, column: str) -> str:
     """The operators of the plan that is first made that join by a column."""
     plan = frame._jdf.queryExecution().executedPlan().toString()
