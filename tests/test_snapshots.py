@@ -151,6 +151,24 @@ def test_drift_of_nulls_odd_values_and_broken_files(spark):
     assert field_changes(files(spark).limit(0)).count() == 0
 
 
+def test_a_file_in_two_series_is_compared_in_both(spark):
+    one, other = files(spark, (people(), {}), (people("denomination"), {}), series="s"), files(spark, (people(), {}), (people(v=lambda i: i), {"n": 8}), series="t")
+    found = field_changes(one.unionByName(other)).drop("former_name").collect()
+    assert sorted(map(tuple, found)) == [("r1", "diagnostics_json", "added", "n"), ("r1", "records_json", "added", "v"), ("r1", "records_json", "renamed", "denomination")]
+    kinds = [(r["source_series_key"], r["field_name"]) for r in appearing_alternatives(one.unionByName(other)).collect()]
+    assert sorted(kinds) == [("s", "denomination"), ("s", "name"), ("t", "n"), ("t", "name"), ("t", "v")]
+
+
+def test_entries_are_the_same_however_their_number_is_typed(spark):
+    typed = lambda label, kind: [{**r, "entry_id": kind(r["entry_id"])} for r in people(label)]
+    assert drift(spark, (typed("name", int), {}), (typed("denomination", float), {}), (typed("title", str), {})) == {("r1", "records_json", "renamed", "denomination"), ("r2", "records_json", "renamed", "title")}
+
+
+def test_numbers_of_any_length(spark):
+    got = drift(spark, (people(v=lambda i: 10**400), {"n": 10**400}), (people(w=lambda i: 10**400), {"m": 10**400}), (f'[{{"entry_id": 1, "name": "Person 1", "w": 1{"0" * 5000}}}]', {}))
+    assert got == {("r1", "records_json", "renamed", "w"), ("r1", "diagnostics_json", "renamed", "m"), ("r2", "diagnostics_json", "removed", "m")}
+
+
 def test_unified_records_keep_every_typing(spark):
     table = files(spark, (people(v=lambda i: i), {}), (people(v=lambda i: [str(i)]), {}), ("[1", {}))
     rows = unified_records(table).collect()
